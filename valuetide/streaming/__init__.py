@@ -1,0 +1,6 @@
+"""Every stage of this engine takes finite tables and returns finite tables.
+
+There is no watermark, trigger or stateful operator in its scope; lateness
+exists only as label maturity (``operators.splits``) and cohort censoring
+(``operators.retention``), both batch concepts.
+"""
