@@ -14,10 +14,9 @@ from ..functions.numbers import logit
 from . import evaluation
 from .ltv import temporal_design
 from .modeling import (
-    TREE_DEPTH,
-    TREE_MEMORY_MB,
     VECTOR,
     Featurizer,
+    TreeSettings,
     balanced_weight,
     fit_together,
     importance_table,
@@ -108,7 +107,9 @@ def class_weights(train: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("weight", total / (2 * F.col("rows")))
 
 
-def fit_models(train: DataFrame, features: list[str], seed: int) -> ChurnModels:
+def fit_models(
+    train: DataFrame, features: list[str], seed: int, trees: TreeSettings = TreeSettings()
+) -> ChurnModels:
     """Fit both families with balanced classes; one-class data yields a constant."""
     featurizer = Featurizer.fit(train, features)
     label = F.col(TARGET).cast("double")
@@ -153,12 +154,11 @@ def fit_models(train: DataFrame, features: list[str], seed: int) -> ChurnModels:
             numTrees=FOREST_SIZE["trees"],
             minInstancesPerNode=FOREST_SIZE["leaf"],
             featureSubsetStrategy="sqrt",
-            maxDepth=TREE_DEPTH,
-            maxMemoryInMB=TREE_MEMORY_MB,
             seed=seed,
+            **trees.params(),
         ).fit(weighted)
 
-    logistic, forest = fit_together(fit_logistic, fit_forest)
+    logistic, forest = fit_together(train.sparkSession, fit_logistic, fit_forest)
     data.unpersist()
     return ChurnModels(featurizer, scaler, logistic, forest, 0.0)
 
@@ -183,7 +183,9 @@ def fit_calibration(validation: DataFrame, raw: str) -> Calibration:
     return Calibration(float(fitted.coefficients[0]), float(fitted.intercept))
 
 
-def train_churn(snapshots: DataFrame, seed: int = 42) -> ChurnResult:
+def train_churn(
+    snapshots: DataFrame, seed: int = 42, trees: TreeSettings = TreeSettings()
+) -> ChurnResult:
     """Fit on train, calibrate and choose thresholds on validation, score the test snapshot.
 
     The selected model has the highest average precision on validation; models
@@ -195,7 +197,7 @@ def train_churn(snapshots: DataFrame, seed: int = 42) -> ChurnResult:
         snapshots.where(F.col(split) == s) for s in (TRAIN, VALIDATION, TEST)
     )
     test_date = require_single_test_snapshot(test, "Churn")
-    models = fit_models(train, features, seed)
+    models = fit_models(train, features, seed, trees)
 
     raw_validation = keep_in_memory(models.raw_scores(validation, "user_id", TARGET))
     calibrations = {m: fit_calibration(raw_validation, f"{m}_raw") for m in CANDIDATES}

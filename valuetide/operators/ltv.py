@@ -14,10 +14,9 @@ from ..functions.distribution import exact_quantiles
 from ..functions.numbers import non_negative_expm1
 from .evaluation import regression_metrics
 from .modeling import (
-    TREE_DEPTH,
-    TREE_MEMORY_MB,
     VECTOR,
     Featurizer,
+    TreeSettings,
     balanced_weight,
     fit_together,
     importance_table,
@@ -92,20 +91,21 @@ class LtvResult:
     features: list[str] = field(default_factory=list)
 
 
-def _forest(size: dict, seed: int, **columns) -> RandomForestRegressor:
+def _forest(size: dict, seed: int, trees: TreeSettings, **columns) -> RandomForestRegressor:
     return RandomForestRegressor(
         featuresCol=VECTOR,
         numTrees=size["trees"],
         minInstancesPerNode=size["leaf"],
         featureSubsetStrategy=FEATURE_SHARE,
-        maxDepth=TREE_DEPTH,
-        maxMemoryInMB=TREE_MEMORY_MB,
         seed=seed,
+        **trees.params(),
         **columns,
     )
 
 
-def fit_candidates(frame: DataFrame, features: list[str], seed: int) -> Fitted:
+def fit_candidates(
+    frame: DataFrame, features: list[str], seed: int, trees: TreeSettings = TreeSettings()
+) -> Fitted:
     """Fit the three model families on the log1p target of one frame.
 
     Without any positive target the hurdle predicts zero; without any zero its
@@ -131,7 +131,7 @@ def fit_candidates(frame: DataFrame, features: list[str], seed: int) -> Fitted:
 
     def fit_forest():
         columns = {"labelCol": "log_target", "predictionCol": "forest_log"}
-        return _forest(FOREST_SIZE, seed, **columns).fit(data)
+        return _forest(FOREST_SIZE, seed, trees, **columns).fit(data)
 
     def fit_classifier():
         if not 0 < pos < n:
@@ -146,19 +146,19 @@ def fit_candidates(frame: DataFrame, features: list[str], seed: int) -> Fitted:
             rawPredictionCol="hurdle_raw",
             numTrees=HURDLE_CLASSIFIER["trees"],
             minInstancesPerNode=HURDLE_CLASSIFIER["leaf"],
-            maxDepth=TREE_DEPTH,
-            maxMemoryInMB=TREE_MEMORY_MB,
             seed=seed,
+            **trees.params(),
         ).fit(weighted)
 
     def fit_amount():
         if not pos:
             return None
         columns = {"labelCol": "log_target", "predictionCol": "hurdle_log_amount"}
-        return _forest(HURDLE_AMOUNT, seed, **columns).fit(data.where(F.col("is_positive") == 1))
+        positives = data.where(F.col("is_positive") == 1)
+        return _forest(HURDLE_AMOUNT, seed, trees, **columns).fit(positives)
 
     linear, forest, classifier, amount = fit_together(
-        fit_linear, fit_forest, fit_classifier, fit_amount
+        frame.sparkSession, fit_linear, fit_forest, fit_classifier, fit_amount
     )
     data.unpersist()
     return Fitted(featurizer, linear, forest, classifier, amount, 1.0 if pos else 0.0)
@@ -182,7 +182,9 @@ def _columns(names: tuple[str, ...]) -> dict[str, str]:
     return {name: f"{name}_prediction" for name in names}
 
 
-def train_ltv(snapshots: DataFrame, seed: int = 42) -> LtvResult:
+def train_ltv(
+    snapshots: DataFrame, seed: int = 42, trees: TreeSettings = TreeSettings()
+) -> LtvResult:
     """Select on validation MAE, refit on train + validation, score the test snapshot.
 
     The value threshold is the 75th percentile of the selected model's
@@ -196,14 +198,14 @@ def train_ltv(snapshots: DataFrame, seed: int = 42) -> LtvResult:
     development = snapshots.where(F.col(split).isin(TRAIN, VALIDATION))
     test_date = require_single_test_snapshot(test, "LTV")
 
-    first = fit_candidates(train, features, seed)
+    first = fit_candidates(train, features, seed, trees)
     validation_metrics = regression_metrics(
         first.predict(validation, TARGET), TARGET, _columns(CANDIDATES)
     )
     found = {r["model"]: r["mae"] for r in validation_metrics.collect()}
     selected = min(CANDIDATES, key=found.__getitem__)
 
-    final = fit_candidates(development, features, seed)
+    final = fit_candidates(development, features, seed, trees)
     constants = baseline_values(snapshots).first()
     scored = final.predict(test, "user_id", "snapshot_date", TARGET)
     baselines = [F.lit(constants[b]).cast("double").alias(f"{b}_prediction") for b in BASELINES]

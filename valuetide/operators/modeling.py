@@ -10,15 +10,28 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import Imputer, ImputerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VECTOR = "features"
-# Trees are depth-limited: a level's split statistics stay bounded, so training
-# cost grows with the rows, not with how far single leaves could be refined.
-TREE_DEPTH = 8
-# Split statistics of one pass over the data, in MB per task.
-TREE_MEMORY_MB = 1024
+
+
+@dataclass(frozen=True)
+class TreeSettings:
+    """Limits of every forest.
+
+    Each level's split statistics (trees x nodes x bins) are shuffled once per
+    input partition, so depth and bins bound the cost of training; raise them
+    for tables whose signal repays it.  ``memory_mb`` holds the statistics of
+    one pass per task.
+    """
+
+    depth: int = 7
+    bins: int = 16
+    memory_mb: int = 1024
+
+    def params(self) -> dict:
+        return {"maxDepth": self.depth, "maxBins": self.bins, "maxMemoryInMB": self.memory_mb}
 
 
 @dataclass(frozen=True)
@@ -51,13 +64,13 @@ def keep_in_memory(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def fit_together(*fits: Callable[[], object]) -> list:
+def fit_together(spark: SparkSession, *fits: Callable[[], object]) -> list:
     """Run independent fits as concurrent Spark jobs, as cross-validation does.
 
     One fit's driver-side split selection then overlaps another's tasks.
     """
     with ThreadPoolExecutor(len(fits)) as pool:
-        running = [pool.submit(inheritable_thread_target(f)) for f in fits]
+        running = [pool.submit(inheritable_thread_target(spark)(f)) for f in fits]
         return [r.result() for r in running]
 
 
