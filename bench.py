@@ -79,9 +79,7 @@ def main() -> None:
 
     def snapshots():
         rows = build_snapshots(*w.tables, w.snapshot_dates)
-        rows = assign_temporal_splits(rows, w.snapshot_dates).persist()
-        force(rows)
-        return rows
+        return sinks.materialize(assign_temporal_splits(rows, w.snapshot_dates), "snapshots")
 
     stage("kpi", kpis)
     stage("retention", cohorts)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import logit
+from ..sources.sinks import materialize
 from . import evaluation
 from .ltv import temporal_design
 from .modeling import (
@@ -199,25 +200,33 @@ def train_churn(
     test_date = require_single_test_snapshot(test, "Churn")
     models = fit_models(train, features, seed, trees)
 
-    raw_validation = keep_in_memory(models.raw_scores(validation, "user_id", TARGET))
-    calibrations = {m: fit_calibration(raw_validation, f"{m}_raw") for m in CANDIDATES}
+    raw_validation = materialize(models.raw_scores(validation, "user_id", TARGET), "churn-validation")
+    calibrations = dict(
+        zip(
+            CANDIDATES,
+            fit_together(
+                snapshots.sparkSession,
+                *[partial(fit_calibration, raw_validation, f"{m}_raw") for m in CANDIDATES],
+            ),
+        )
+    )
     calibrated = keep_in_memory(_calibrate(raw_validation, calibrations, "user_id", TARGET))
     thresholds, precision = {}, {}
     for m in CANDIDATES:
         thresholds[m] = evaluation.best_threshold(calibrated, TARGET, m).first()["threshold"]
         precision[m] = evaluation.ranking_metrics(calibrated, TARGET, m).first()["pr_auc"] or 0.0
     calibrated.unpersist()
-    raw_validation.unpersist()
     selected = max(CANDIDATES, key=precision.__getitem__)
 
-    scores = keep_in_memory(
+    scores = materialize(
         _calibrate(
             models.raw_scores(test, "user_id", "snapshot_date", TARGET),
             calibrations,
             "user_id",
             "snapshot_date",
             TARGET,
-        )
+        ),
+        "churn-scores",
     )
     reports = [
         evaluation.classifier_report(

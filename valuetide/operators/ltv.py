@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.distribution import exact_quantiles
 from ..functions.numbers import non_negative_expm1
+from ..sources.sinks import materialize
 from .evaluation import regression_metrics
 from .modeling import (
     VECTOR,
@@ -188,7 +189,8 @@ def train_ltv(
     """Select on validation MAE, refit on train + validation, score the test snapshot.
 
     The value threshold is the 75th percentile of the selected model's
-    predictions for the rows it was refitted on.
+    predictions for the rows it was refitted on.  Give it a stored table (see
+    ``sinks.materialize``): every fit scans the rows many times.
     """
     features = feature_columns(snapshots)
     split = split_column(snapshots, "ltv")
@@ -198,19 +200,23 @@ def train_ltv(
     development = snapshots.where(F.col(split).isin(TRAIN, VALIDATION))
     test_date = require_single_test_snapshot(test, "LTV")
 
-    first = fit_candidates(train, features, seed, trees)
+    # The refit covers all candidates, so it need not wait for the selection.
+    first, final = fit_together(
+        snapshots.sparkSession,
+        lambda: fit_candidates(train, features, seed, trees),
+        lambda: fit_candidates(development, features, seed, trees),
+    )
     validation_metrics = regression_metrics(
         first.predict(validation, TARGET), TARGET, _columns(CANDIDATES)
     )
     found = {r["model"]: r["mae"] for r in validation_metrics.collect()}
     selected = min(CANDIDATES, key=found.__getitem__)
 
-    final = fit_candidates(development, features, seed, trees)
     constants = baseline_values(snapshots).first()
     scored = final.predict(test, "user_id", "snapshot_date", TARGET)
     baselines = [F.lit(constants[b]).cast("double").alias(f"{b}_prediction") for b in BASELINES]
     candidates = [F.col(f"{c}_prediction") for c in CANDIDATES]
-    predictions = keep_in_memory(
+    predictions = materialize(
         scored.select(
             "user_id",
             "snapshot_date",
@@ -218,7 +224,8 @@ def train_ltv(
             *baselines,
             *candidates,
             F.col(f"{selected}_prediction").alias("predicted_ltv"),
-        )
+        ),
+        "ltv-predictions",
     )
     in_sample = final.predict(development, "user_id").select(f"{selected}_prediction")
     threshold = exact_quantiles(

@@ -28,7 +28,7 @@ class TreeSettings:
 
     depth: int = 7
     bins: int = 16
-    memory_mb: int = 1024
+    memory_mb: int = 512
 
     def params(self) -> dict:
         return {"maxDepth": self.depth, "maxBins": self.bins, "maxMemoryInMB": self.memory_mb}

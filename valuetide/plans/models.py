@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import churn, evaluation, ltv, reporting, segments
-from ..operators.modeling import keep_in_memory
+from ..sources.sinks import materialize
 
 
 @lru_cache(maxsize=4)
@@ -16,7 +16,7 @@ def _trained(spark: SparkSession, folder: str):
     """Both bake-offs of one folder, shared by the queries of a session."""
     from .registry import SEED, split_snapshots
 
-    rows = keep_in_memory(split_snapshots(spark, folder))
+    rows = materialize(split_snapshots(spark, folder), "snapshots")
     return ltv.train_ltv(rows, SEED), churn.train_churn(rows, SEED)
 
 

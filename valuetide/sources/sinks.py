@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_path
 from . import schemas
 from .readers import DATE_FORMAT, TIMESTAMP_FORMAT
 
@@ -25,6 +26,17 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) ->
     writer.parquet(path)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back.
+
+    What follows starts from stored rows: tasks carry no long lineage, and a
+    lost executor costs a re-read.
+    """
+    path = scratch_path(df.sparkSession, name)
+    write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV export; NULL stays an empty cell so censored values remain blank."""
     (
