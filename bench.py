@@ -62,28 +62,47 @@ def main() -> None:
 
     def load():
         w = commerce_world(spark, FOLDER)
-        tables = [t.persist(StorageLevel.MEMORY_AND_DISK) for t in w.tables]
+        # The files hold one row group each; stored role tables spread their
+        # rows over the cores and give every later plan a short lineage.
+        names = ("users", "events", "transactions")
+        tables = [
+            sinks.materialize(t.repartition(int(CPUS)), n).persist(StorageLevel.MEMORY_AND_DISK)
+            for n, t in zip(names, w.tables)
+        ]
         force(*tables)
         return World(*tables, w.snapshot_dates)
 
     w = stage("load", load)
-    stage("validate", lambda: quality.validate(*w.tables).collect())
+
+    def user_days():
+        return sinks.materialize(kpi.user_days(w.events), "user-days")
 
     def kpis():
-        k = kpi.calculate_kpis(*w.tables)
+        k = kpi.calculate_kpis(w.users, days, w.transactions)
         force(k.daily, k.weekly, k.monthly, k.channel)
 
     def cohorts():
-        r = retention.calculate_retention(w.users, w.events)
+        r = retention.calculate_retention(w.users, days)
         force(r.summary, r.cohorts, r.by_channel, r.by_device)
 
     def snapshots():
         rows = build_snapshots(*w.tables, w.snapshot_dates)
         return sinks.materialize(assign_temporal_splits(rows, w.snapshot_dates), "snapshots")
 
-    stage("kpi", kpis)
-    stage("retention", cohorts)
-    rows = stage("snapshots", snapshots)
+    def descriptive():
+        nonlocal days
+        stage("validate", lambda: quality.validate(*w.tables).collect())
+        days = stage("user_days", user_days)
+        stage("kpi", kpis)
+        stage("retention", cohorts)
+        return stage("snapshots", snapshots)
+
+    # The first pass pays for class loading, code generation and JIT; both
+    # passes are reported, the second one counts.
+    days = None
+    descriptive().count()
+    cold = {k: v for k, v in times.items() if k != "load"}
+    rows = descriptive()
 
     def train_ltv():
         found = ltv.train_ltv(rows)
@@ -139,6 +158,7 @@ def main() -> None:
                 "value": total,
                 "unit": "sec",
                 "queries": times,
+                "cold": cold,
                 "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
                 "rows": {t: f.count() for t, f in frames.items()},
             }

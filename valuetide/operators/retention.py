@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_index, month_start
@@ -88,19 +88,32 @@ def _cohort_activity(users: DataFrame, days: DataFrame) -> DataFrame:
     )
 
 
-def cohort_counts(users: DataFrame, events: DataFrame) -> DataFrame:
-    """Active users per cohort with any activity, for every period 0..max."""
-    observed = _cohort_activity(users, user_days(events))
-    # One row per cohort and period: a few thousand rows for a century of months.
-    longest = observed.agg(F.max("period")).scalar()
-    grid = (
-        observed.select("cohort")
-        .distinct()
-        .withColumn("longest", longest)
+def _dense(cohorts: DataFrame) -> DataFrame:
+    """One row per cohort and period 0..max; ``seen`` maps observed periods to users.
+
+    The unpartitioned window sees one row per signup month.
+    """
+    longest = F.max("last_period").over(Window.partitionBy())
+    return (
+        cohorts.withColumn("longest", longest)
         .where(F.col("longest") >= 0)
-        .select("cohort", F.explode(F.sequence(F.lit(0), F.col("longest"))).alias("period"))
+        .withColumn("period", F.explode(F.sequence(F.lit(0), F.col("longest"))))
+        .withColumn("active_users", F.try_element_at("seen", F.col("period")))
     )
-    return grid.join(observed, ["cohort", "period"], "left").select(
+
+
+def _per_cohort(observed: DataFrame) -> DataFrame:
+    """Fold the observed cells of a cohort, at most one per month, into a map."""
+    cells = F.collect_list(F.struct("period", "active_users"))
+    return observed.groupBy("cohort").agg(
+        F.map_from_entries(cells).alias("seen"), F.max("period").alias("last_period")
+    )
+
+
+def cohort_counts(users: DataFrame, events: DataFrame) -> DataFrame:
+    """Active users per cohort with any activity, for every period 0..max."""
+    cohorts = _per_cohort(_cohort_activity(users, user_days(events)))
+    return _dense(cohorts).select(
         "cohort", "period", F.coalesce("active_users", F.lit(0)).alias("active_users")
     )
 
@@ -112,26 +125,19 @@ def cohort_retention(users: DataFrame, events: DataFrame) -> DataFrame:
     activity are 0, and a cohort that was never active is NULL throughout.
     """
     days = user_days(events)
-    counts = cohort_counts(users, days)
-    end = _observation_end(days)
-    longest = counts.agg(F.max("period")).scalar()
-    grid = (
-        cohort_size(users)
-        .withColumn("longest", longest)
-        .where(F.col("longest") >= 0)
-        .select(
-            "cohort",
-            "cohort_size",
-            F.explode(F.sequence(F.lit(0), F.col("longest"))).alias("period"),
-        )
-        .withColumn("end", end)
+    cohorts = cohort_size(users).join(
+        _per_cohort(_cohort_activity(users, days)), "cohort", "left"
     )
+    dense = _dense(cohorts).withColumn("end", _observation_end(days))
     covered = F.col("period") <= month_index(F.col("end")) - month_index(F.col("cohort"))
-    return grid.join(counts, ["cohort", "period"], "left").select(
+    silent_is_zero = F.when(
+        F.col("seen").isNotNull(), F.coalesce("active_users", F.lit(0))
+    )
+    return dense.select(
         F.date_format("cohort", "yyyy-MM").alias("cohort"),
         "period",
         "cohort_size",
-        F.when(covered, ratio(F.col("active_users"), F.col("cohort_size"))).alias("retention"),
+        F.when(covered, ratio(silent_is_zero, F.col("cohort_size"))).alias("retention"),
     )
 
 

@@ -8,6 +8,7 @@ stream.  Evaluation, segment and BI queries score users with fixed arithmetic
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,14 +50,25 @@ def split_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return splits.assign_temporal_splits(rows, w.snapshot_dates)
 
 
+@lru_cache(maxsize=4)
 def scored(spark: SparkSession, folder: str) -> DataFrame:
-    """Snapshots with a churn score on a 0.001 grid and an LTV score."""
+    """Snapshots with a churn score on a 0.001 grid and an LTV score.
+
+    Metrics, segments and BI tables all start from this table, so it is stored
+    once per session and folder, as the job stores its predictions.
+    """
     recency = F.least("days_since_last_active", F.lit(89)) * 9
     churn = (100 + recency + F.col("user_id") % 10).cast("double") / 1000
     pace = F.col("historical_ltv") / F.greatest("tenure_days", F.lit(1)) * 45
-    return split_snapshots(spark, folder).select(
+    table = split_snapshots(spark, folder).select(
         "*", churn.alias("churn_probability"), (F.col("revenue_90d") * 0.5 + pace).alias("predicted_ltv")
     )
+    return sinks.materialize(table, "scored")
+
+
+def latest_features(spark: SparkSession, folder: str) -> DataFrame:
+    rows = scored(spark, folder).drop("churn_probability", "predicted_ltv")
+    return reporting.customer_features(rows)
 
 
 def churn_test(spark: SparkSession, folder: str) -> DataFrame:
@@ -269,7 +281,7 @@ def bi_measures(spark: SparkSession, folder: str) -> DataFrame:
         w.users,
         kpi.daily_kpis(w.events),
         kpi.monthly_kpis(w.events, w.transactions),
-        reporting.customer_features(split_snapshots(spark, folder)),
+        latest_features(spark, folder),
         _segments(spark, folder),
     )
     return rounded(out, 4, "avg_predicted_ltv")
@@ -280,7 +292,7 @@ def _cards(channel: str | None) -> Query:
         w = world("commerce", spark, folder)
         out = reporting.executive_cards(
             *w.tables,
-            reporting.customer_features(split_snapshots(spark, folder)),
+            latest_features(spark, folder),
             _segments(spark, folder),
             channel,
         )
@@ -298,7 +310,7 @@ def bi_ltv_by_channel(spark: SparkSession, folder: str) -> DataFrame:
 def bi_high_risk(spark: SparkSession, folder: str) -> DataFrame:
     return reporting.high_risk_customers(
         world("commerce", spark, folder).users,
-        reporting.customer_features(split_snapshots(spark, folder)),
+        latest_features(spark, folder),
         _segments(spark, folder),
     )
 
@@ -348,7 +360,7 @@ COMMERCE: dict[str, Query] = {
     "customer_predictions": lambda s, d: segments.customer_predictions(
         ltv_test(s, d), churn_test(s, d), _segments(s, d)
     ),
-    "bi_customer_features": lambda s, d: reporting.customer_features(split_snapshots(s, d)),
+    "bi_customer_features": latest_features,
     "bi_measures": bi_measures,
     "bi_executive_cards": _cards(None),
     "bi_channel_cards": _cards(CARD_CHANNEL),

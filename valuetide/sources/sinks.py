@@ -26,14 +26,14 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) ->
     writer.parquet(path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 
     What follows starts from stored rows: tasks carry no long lineage, and a
     lost executor costs a re-read.
     """
     path = scratch_path(df.sparkSession, name)
-    write_parquet(df, path)
+    write_parquet(df, path, partition_by)
     return df.sparkSession.read.parquet(path)
 
 
