@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary, classifier, decontam, mixing, simhash, sql
+from . import binary, classifier, decontam, mixing, pagediff, quality, secrets, simhash, sql, suffixdedup, tokencount
 from .common import read
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_spans(read(spark, folder, "documents"))
+
+
 def op2_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed_words(read(spark, folder, "documents"))
 
@@ -18,6 +22,18 @@ def op3_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.fingerprint_components(read(spark, folder, "documents"))
 
 
+def op4_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.apply_rules(read(spark, folder, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencount.token_counts(read(spark, folder, "documents"))
+
+
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixdedup.removed_bytes(read(spark, folder, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return classifier.quality_scores(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
@@ -26,15 +42,24 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return binary.token_files(read(spark, folder, "documents"))
 
 
+def op9_page_differencing(spark: SparkSession, folder: str) -> DataFrame:
+    return pagediff.extract(read(spark, folder, "pages"))
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.overlap_counts(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
 QUERIES = (
+    op1_secret_scan,
     op2_pareto_mix,
     op3_simhash_golay,
+    op4_line_quality,
+    op5_token_counts,
+    op6_suffix_dedup,
     op7_quality_classifier,
     op8_token_files,
+    op9_page_differencing,
     op10_decontamination,
 )
 
