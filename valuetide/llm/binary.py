@@ -21,7 +21,9 @@ import re
 import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from .common import delete_at_exit
+from ..session import delete_at_exit, scratch_path
+from .common import Recent
 
 MAGIC, VERSION = 0x54494445, 1
 END_ID = 0
-CACHE_PIECES = 200_000
-SHARD_BYTES = 64 << 20
+CACHE_PIECES = 400_000
 
 # In texts of these characters only, Python's classes equal the library's.
 LETTERS = "".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == "L")
@@ -48,6 +49,15 @@ PIECES = re.compile(
 )
 
 
+# Fixed value: the letter that stands for each byte in byte-level vocabularies.
+_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _OWN)}
+
+
+def byte_letters(piece: str) -> str:
+    return piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+
+
 class Encoder:
     """Ids of whole texts, piece by piece; recent pieces are kept.
 
@@ -64,7 +74,12 @@ class Encoder:
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        self.known: dict[str, bytes] = {}
+        self.recent = Recent(self.pieces, CACHE_PIECES)
+
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        tokenize = self.library.model.tokenize
+        code = "H" if self.kind.itemsize == 2 else "I"
+        return [array(code, [t.id for t in tokenize(byte_letters(p))]).tobytes() for p in pieces]
 
     def ids(self, text: str) -> bytes:
         encoded = self.library.encode(text, add_special_tokens=False)
@@ -73,16 +88,13 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if not PLAIN.fullmatch(text) or self.special.search(text):
             return self.ids(text)
-        pieces = PIECES.findall(text)
-        known = self.known
-        missing = list({p for p in pieces if p not in known})
-        if missing:
-            if len(known) > CACHE_PIECES:
-                known.clear()
-                missing = list(set(pieces))
-            for p, e in zip(missing, self.library.encode_batch_fast(missing, add_special_tokens=False)):
-                known[p] = np.array(e.ids, self.kind).tobytes()
-        return b"".join(map(known.__getitem__, pieces))
+        return b"".join(self.recent(PIECES.findall(text)))
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One for each worker process, which serves many tasks."""
+    return Encoder(path)
 
 
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -123,7 +135,7 @@ def write_tokens(
         pieces: list[bytes] = []
         for batch in batches:
             if encode is None:
-                encode = Encoder(tokenizer())
+                encode = encoder(tokenizer())
                 end = np.array([end_id], encode.kind).tobytes()
             ids += batch.column(0).to_pylist()
             pieces += [encode(t or "") + end for t in batch.column(1).to_pylist()]

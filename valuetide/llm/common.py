@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import delete_at_exit, scratch_path
 
 # Fixed value: a word is a run of anything but space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,11 +31,6 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def delete_at_exit(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-
-
 def words(text: Column) -> Column:
     """The words of a text; none for NULL."""
     return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
@@ -44,6 +41,34 @@ def row_key(text: str = "text") -> Column:
     return F.xxhash64(F.col(text).isNull(), F.col(text))
 
 
+class Recent:
+    """Values of recent keys, in two generations of at most ``size`` keys.
+
+    When the young one is full it becomes the old one; what is still in use
+    moves back, so a stream of rare keys does not drive out the frequent ones.
+    """
+
+    def __init__(self, make: Callable[[list], list], size: int):
+        self.make, self.size = make, size
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def __call__(self, keys: list) -> list:
+        found = list(map(self.young.get, keys))
+        if None in found:
+            self._fetch({k for k, v in zip(keys, found) if v is None})
+            found = list(map(self.young.__getitem__, keys))
+            if len(self.young) > self.size:
+                self.old, self.young = self.young, {}
+        return found
+
+    def _fetch(self, missing: set) -> None:
+        kept = {k: self.old[k] for k in missing if k in self.old}
+        self.young.update(kept)
+        rest = [k for k in missing if k not in kept]
+        self.young.update(zip(rest, self.make(rest)))
+
+
 def crc_fold(doc_id: Column, folds: int = 5) -> Column:
     """crc32 of the id as text, modulo ``folds``; a NULL id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

@@ -51,3 +51,159 @@ FROM placed
 """
 
 ORACLES = {"op2_pareto_mix": PARETO_MIX}
+
+FOLDED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Windows are compared as joined strings; no word holds a space.
+DECONTAMINATION = rf"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         coalesce(regexp_extract_all({FOLDED.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         coalesce(regexp_extract_all({FOLDED.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[k:k + 9], ' ') AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM items WHERE len(w) > 0)
+), placed AS (
+  SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS win
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM docs, (SELECT DISTINCT n FROM windows))
+), hits AS (
+  SELECT r, k, n, item FROM placed JOIN windows USING (n, win)
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n_hit
+  FROM (SELECT r, unnest(range(k, k + n)) AS p FROM hits) GROUP BY r
+), named AS (
+  SELECT r, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS names
+  FROM hits GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+LINE_QUALITY = rf"""
+WITH docs AS (
+  SELECT doc_id, source AS host, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS raw
+  FROM docs
+), windows AS (
+  SELECT r, k, array_to_string(w[k:k + 2], ' ') AS win
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS k FROM split)
+), repeated AS (
+  SELECT r, count(DISTINCT p) AS n
+  FROM (SELECT r, unnest([k, k + 1, k + 2]) AS p
+        FROM (SELECT r, k, count(*) OVER (PARTITION BY r, win) AS n FROM windows) WHERE n > 1)
+  GROUP BY r
+), lines AS (
+  SELECT r, host,
+         trim(regexp_replace(regexp_replace({FOLDED.format("line")}, '[\x20\x09-\x0D]+', ' ', 'g'),
+                             '[0-9]+', '0', 'g'), ' ') AS line
+  FROM (SELECT r, host, unnest(raw) AS line FROM split)
+), held AS (
+  SELECT host, line, count(DISTINCT r) AS n FROM lines GROUP BY host, line
+), hosts AS (
+  SELECT host, count(*) AS n FROM docs GROUP BY host
+), common AS (
+  SELECT held.host, line
+  FROM held JOIN hosts ON held.host IS NOT DISTINCT FROM hosts.host
+  WHERE held.n >= 20 AND held.n >= 0.01::DOUBLE * hosts.n
+), lost AS (
+  SELECT r, sum(len(string_split(lines.line, ' '))) AS n
+  FROM lines JOIN common ON lines.line = common.line AND lines.host IS NOT DISTINCT FROM common.host
+  GROUP BY r
+), counted AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(raw) - len(list_distinct(raw)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(lost.n, 0) AS BIGINT) AS n_common_words
+  FROM split LEFT JOIN repeated USING (r) LEFT JOIN lost USING (r)
+), judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND n_words - n_common_words >= 0.5::DOUBLE * n_words AS kept, n_common_words
+FROM judged
+"""
+
+
+def _places(pattern: str, group: int = 0) -> str:
+    """A list of (start, end, string) of the matches of ``pattern`` in text."""
+    return f"""
+      list_transform(range(1, len(regexp_extract_all(text, '{pattern}')) + 1), lambda i: {{
+        'start': list_sum(list_transform(string_split_regex(text, '{pattern}')[1:i], lambda x: length(x)))
+                 + coalesce(list_sum(list_transform(regexp_extract_all(text, '{pattern}')[1:i - 1],
+                                                    lambda x: length(x))), 0),
+        'size': length(regexp_extract_all(text, '{pattern}')[i]),
+        'string': regexp_extract_all(text, '{pattern}', {group})[i]}})"""
+
+
+def secret_scan() -> str:
+    """Every window's entropy is counted from scratch here; runs are joined as islands."""
+    from . import secrets as s
+
+    quoted = lambda p: p.replace("'", "''")
+    kinds = ((quoted(s.ASSIGN), 2), (quoted(s.ACCESS), 0), (quoted(s.HEX), 0))
+    base = " UNION ALL ".join(
+        f"""SELECT r, {k} AS place, '{s.KINDS[k]}' AS kind, unnest({_places(p, g)}) AS m FROM docs
+            WHERE regexp_matches(text, '{p}')"""
+        for k, (p, g) in enumerate(kinds)
+    )
+    most = " ".join(f"WHEN regexp_matches(m.string, '{c}') THEN {s.highest_sum(b)}" for c, b in s.CLASSES)
+    barred = " OR ".join(f"regexp_matches(m.string, '{p}')" for p in s.ALLOWED)
+    terms = "[" + ", ".join(map(str, s.TERMS)) + "]"
+    return f"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents
+), base AS (
+  SELECT r, place, kind, CAST(m.start AS BIGINT) AS a, CAST(m.start + m.size AS BIGINT) AS b
+  FROM ({base}) WHERE place > 0 OR length(m.string) >= {s.ASSIGN_LEAST}
+), candidates AS (
+  SELECT r, m.start AS pos, m.string AS string, CASE {most} END AS most
+  FROM (SELECT r, unnest({_places(s.CANDIDATE)}) AS m FROM docs WHERE regexp_matches(text, '{s.CANDIDATE}'))
+  WHERE NOT ({barred})
+), windows AS (
+  SELECT r, pos, most, k, string_split(string[k:k + {s.WINDOW - 1}], '') AS chars
+  FROM (SELECT *, unnest(range(1, length(string) - {s.WINDOW - 2})) AS k FROM candidates)
+), high AS (
+  SELECT r, pos + k - 1 AS a FROM windows
+  WHERE list_sum(list_transform(list_distinct(chars), lambda c:
+        {terms}[len(list_filter(chars, lambda x: x = c)) + 1])) <= most
+), stepped AS (
+  SELECT r, a, CASE WHEN a - lag(a) OVER (PARTITION BY r ORDER BY a) <= {s.WINDOW} THEN 0 ELSE 1 END AS fresh
+  FROM high
+), islands AS (
+  SELECT r, min(a) AS a, max(a) + {s.WINDOW} AS b
+  FROM (SELECT r, a, sum(fresh) OVER (PARTITION BY r ORDER BY a) AS island FROM stepped)
+  GROUP BY r, island
+), extra AS (
+  SELECT r, 3 AS place, 'entropy' AS kind, a, b FROM islands i
+  WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.r = i.r AND base.a <= i.a AND i.b <= base.b)
+), named AS (
+  SELECT r, string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(b AS BIGINT), ',' ORDER BY a, place, b) AS spans,
+         count(*) FILTER (place = 3) AS n_entropy
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM extra) GROUP BY r
+), plain AS (
+  SELECT r, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, place, b) AS spans,
+         count(*) FILTER (place = 0) AS n0, count(*) FILTER (place = 1) AS n1, count(*) FILTER (place = 2) AS n2
+  FROM base GROUP BY r
+)
+SELECT doc_id, CAST(coalesce(n0, 0) AS BIGINT) AS n_assign, CAST(coalesce(n1, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n2, 0) AS BIGINT) AS n_hex, sha256(coalesce(plain.spans, '')) AS base_sha256,
+       coalesce(named.spans, '') AS spans, CAST(coalesce(n_entropy, 0) AS BIGINT) AS n_entropy
+FROM docs LEFT JOIN plain USING (r) LEFT JOIN named USING (r)
+"""
+
+
+ORACLES |= {
+    "op1_secret_scan": secret_scan(),
+    "op4_line_quality": LINE_QUALITY,
+    "op10_decontamination": DECONTAMINATION,
+}

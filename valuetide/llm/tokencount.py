@@ -15,13 +15,15 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .binary import LETTERS, NUMBERS, PLAIN, public_tokenizer
+from .binary import LETTERS, NUMBERS, PLAIN, byte_letters, public_tokenizer
+from .common import Recent
 
 TOKEN_LIMIT = 2048
 TABLE_PIECES = 65_536
@@ -45,11 +47,12 @@ class Counts:
         self.library = Tokenizer.from_file(path)
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        self.frequent, self.recent = table, {}
+        self.frequent = table
+        self.recent = Recent(self.lengths, CACHE_PIECES)
 
     def lengths(self, pieces: list[str]) -> list[int]:
-        encoded = self.library.encode_batch_fast(pieces, add_special_tokens=False)
-        return [len(e.ids) for e in encoded]
+        tokenize = self.library.model.tokenize
+        return [len(tokenize(byte_letters(p))) for p in pieces]
 
     def __call__(self, text: str) -> int:
         if not PLAIN.fullmatch(text) or self.special.search(text):
@@ -57,17 +60,13 @@ class Counts:
         pieces = PIECES.findall(text.lower())
         found = list(map(self.frequent.get, pieces))
         missed = [p for p, n in zip(pieces, found) if n is None]
-        return sum(filter(None, found)) + (self._recent(missed) if missed else 0)
+        return sum(filter(None, found)) + sum(self.recent(missed))
 
-    def _recent(self, pieces: list[str]) -> int:
-        recent = self.recent
-        fresh = [p for p in set(pieces) if p not in recent]
-        if fresh:
-            if len(recent) > CACHE_PIECES:
-                recent.clear()
-                fresh = list(set(pieces))
-            recent.update(zip(fresh, self.lengths(fresh)))
-        return sum(map(recent.__getitem__, pieces))
+
+@cache
+def counter(path: str, packed: tuple[bytes, bytes]) -> Counts:
+    """One for each worker process and table; a process serves many tasks."""
+    return Counts(path, unpack(packed))
 
 
 def pack(table: dict[str, int]) -> tuple[bytes, bytes]:
@@ -122,7 +121,7 @@ def count_tokens(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = Counts(tokenizer(), unpack(shared.value))
+        count = counter(tokenizer(), shared.value)
         for batch in batches:
             n = [count(t) if t else 0 for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
