@@ -235,7 +235,8 @@ def test_dedup_keeps_one_of_each_component(docs):
         least[g] = min(least.get(g, math.inf), math.inf if doc_id is None else doc_id)
     kept = simhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
-    assert Counter(r.doc_id for r in kept.collect()) == Counter(least.values())
+    want = Counter(None if x == math.inf else x for x in least.values())
+    assert Counter(r.doc_id for r in kept.collect()) == want
 
 
 def test_golay_keys_meet_for_all_errors_of_two_bits():
@@ -315,14 +316,14 @@ def test_quality_rules(docs):
 
 def test_lines_of_many_documents_are_removed(spark):
     own = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(60)]
-    shared = "All Rights reserved 2024 by the  owner of this site and nobody else " * 5
+    shared = "All Rights reserved 2024 by the  owner of this site and nobody else " * 3
     texts = [f"{t}\n{shared}" if k < 30 else t for k, t in enumerate(own)]
     texts += [f"{shared}\n{shared} \n" + " ".join(own[k].split()[:55]) for k in range(5)]
     data = [(k, t, "a") for k, t in enumerate(texts)] + [(99, texts[0], "b")]
     df = spark.createDataFrame(data, "doc_id long, text string, source string")
     got = quality.apply_rules(df)
     assert rows(got) == sorted(plain_quality(df), key=repr)
-    assert {r.doc_id for r in got.collect() if not r.kept} == {60, 61, 62, 63, 64} | set(range(30)) - set(range(30))
+    assert {r.doc_id for r in got.collect() if not r.kept} == {60, 61, 62, 63, 64}
 
 
 # --- 5: token counts

@@ -92,13 +92,16 @@ def draw(sized: DataFrame, targets: DataFrame, seed: str = "mix") -> DataFrame:
         "target",
         F.coalesce(F.floor("rate"), F.lit(0)).cast("long").alias("__whole"),
         F.ceil(F.sqrt("docs")).cast("long").alias("__buckets"),
+        F.sqrt(F.try_divide("source_size", "docs")).alias("__usual"),
     ).withColumn("__left", F.col("target") - F.col("__whole") * F.col("source_size"))
     rows = sized.join(known, F.col("source").eqNullSafe(F.col("__source")))
     u = uniform(F.col("doc_id"), seed)
     share = F.col("__left") / F.col("source_size")
     wanted = (F.col("size") > 0) & (F.col("__left") > 0)
     rank = F.when(wanted, (u / (1 - u)) / (share / (1 - share) * F.sqrt("size")))
-    bucket = F.floor(F.col("__rank") / (1 + F.col("__rank")) * F.col("__buckets"))
+    # Ranks follow U / (1 - U) of a document of usual size, scaled; undone, they fill (0, 1) evenly.
+    scaled = F.col("__rank") * (share / (1 - share)) * F.col("__usual")
+    bucket = F.floor(scaled / (1 + scaled) * F.col("__buckets"))
     ranked = rows.withColumn("__rank", rank).withColumn("__bucket", bucket)
     # A row without a rank is never drawn; such rows are spread by their key.
     ranked = ranked.withColumn(
