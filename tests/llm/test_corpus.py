@@ -315,7 +315,8 @@ def test_quality_rules(docs):
 
 
 def test_lines_of_many_documents_are_removed(spark):
-    own = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(60)]
+    name = lambda n: chr(97 + n // 26) + chr(97 + n % 26)  # noqa: E731  digits fold to one
+    own = [" ".join(name(k) + "x" + name(i) for i in range(60)) for k in range(60)]
     shared = "All Rights reserved 2024 by the  owner of this site and nobody else " * 3
     texts = [f"{t}\n{shared}" if k < 30 else t for k, t in enumerate(own)]
     texts += [f"{shared}\n{shared} \n" + " ".join(own[k].split()[:55]) for k in range(5)]

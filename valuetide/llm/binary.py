@@ -205,7 +205,8 @@ def read_tokens(manifest: DataFrame, path: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    spread = manifest.select("shard", "base").repartition(F.col("shard"))
+    # A row stands for a whole shard, so each gets a task of its own.
+    spread = manifest.select("shard", "base").repartition(max(1, manifest.count()))
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -312,6 +312,8 @@ def _merge(done: DataFrame, docs: DataFrame, items: list, window: int, longest:
 
     @F.udf(FOUND)
     def union(text, found, spans, names):
+        if not spans:
+            return found
         merged: list[list[int]] = []
         for a, b in sorted([*found.spans, *spans]):
             if merged and a <= merged[-1][1]:
@@ -321,9 +323,7 @@ def _merge(done: DataFrame, docs: DataFrame, items: list, window: int, longest:
         cleaned = cut_words(text.encode(), merged, longest)
         return found.n_words, merged, sorted({*found.items, *names}), cleaned
 
-    both = F.when(F.col("__spans").isNull(), F.col("__found")).otherwise(
-        union("text", "__found", F.coalesce("__spans", F.array()), F.coalesce("__items", F.array()))
-    )
+    both = union("text", "__found", "__spans", "__items")
     return joined.withColumn("__found", both).drop("__key", "__id", "__other", "__spans", "__items")
 
 
