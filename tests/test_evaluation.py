@@ -236,3 +236,25 @@ def test_histogram_keeps_empty_bins_and_the_top_edge(spark):
     flat = histogram(frame(spark, [(3.0,)], "v double"), "v", 4).orderBy("bin").collect()
     assert (flat[0]["left_edge"], flat[-1]["right_edge"]) == (2.5, 3.5)
     assert sum(r["rows"] for r in flat) == 1
+
+
+def test_default_settings_cross_ranges(spark):
+    df = spark.range(20_000).selectExpr("id AS user_id", "(id * 7919 % 20000) / 20000.0D AS p", "CAST(id % 3 = 0 AS INT) AS y")
+    prof = ev.profile_scores(df, "y", "p")
+    assert len(prof.table.cuts["p"]) >= 3
+    steps = ev.score_steps(df, "y", "p", prof)
+    assert steps.agg({"cum_n": "max"}).first()[0] == 20_000
+    assert exact_quantiles(df, "p", {"m": 0.5}).first()["m"] == pytest.approx(9999.5 / 20000)
+
+
+def test_quantiles_with_infinite_values(spark):
+    df = spark.range(400).selectExpr("IF(id % 2 = 0, CAST('Infinity' AS DOUBLE), CAST(id AS DOUBLE)) AS v")
+    row = exact_quantiles(df, "v", {"low": 0.25, "high": 0.9}, 20).first()
+    assert row["low"] == pytest.approx(np.quantile([i for i in range(400) if i % 2] + [1e9] * 200, 0.25))
+    assert row["high"] == float("inf")
+
+
+def test_top_share_with_one_score_for_all(spark):
+    df = spark.range(1000).selectExpr("id AS user_id", "0.5D AS p", "CAST(id < 60 AS INT) AS y")
+    row = ev.top_share_metrics(df, "y", "p").first()
+    assert row["precision_at_top_10pct"] == pytest.approx(0.6)

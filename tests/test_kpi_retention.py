@@ -173,3 +173,18 @@ def test_daily_window_input_is_bounded_by_the_calendar(spark):
         )
     )
     assert span.count() == (dt.date(2009, 12, 31) - dt.date(2000, 1, 1)).days + 1
+
+
+def test_a_buyer_of_most_orders_reaches_the_join_once(spark):
+    users = spark.range(5).selectExpr("id AS user_id", "IF(id % 2 = 0, 'a', 'b') AS channel")
+    orders = spark.range(2000).selectExpr(
+        "id AS order_id", "IF(id < 1900, 0L, id % 6) AS user_id", "timestamp_ntz'2024-01-02 00:00:00' AS order_time",
+        "CAST(2 AS DECIMAL(12,2)) AS amount", "CAST(0 AS DECIMAL(12,2)) AS refund_amount",
+    )
+    rows = {r["channel"]: tuple(r)[1:] for r in kpi.channel_revenue(users, orders).collect()}
+    owners = [0] * 1900 + [k % 6 for k in range(1900, 2000)]
+    for name, ids in {"a": (0, 2, 4), "b": (1, 3)}.items():
+        n = sum(o in ids for o in owners)
+        assert rows[name] == (2.0 * n, len(ids), n)
+    for df in (kpi.channel_revenue(users, orders), kpi.monthly_revenue(orders)):
+        assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()

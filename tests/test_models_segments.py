@@ -207,3 +207,12 @@ def test_unmatched_predictions_drop_out(spark, scores):
     value, risk = scores
     found = segments.segment_customers(value, risk.where("user_id != 4"), value_threshold=1.0)
     assert found.count() == 3
+
+
+def test_forests_grow_until_leaves_are_small(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = spark.range(6000).selectExpr("id % 997 AS x", "id % 89 AS z", "CAST(hash(id % 997) % 100 AS DOUBLE) AS y")
+    data = VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(rows)
+    forest = ltv._forest({"trees": 2, "leaf": 1}, 1, TreeSettings(), labelCol="y").fit(data)
+    assert max(t.depth for t in forest.trees) > 7

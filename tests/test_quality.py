@@ -23,18 +23,18 @@ def test_valid_data(sample):
 
 
 MUTATIONS = {
-    "duplicate": ("users", "user_id = 2", {"user_id": 1}, "unique"),
-    "null_user": ("users", "user_id = 2", {"user_id": None}, "unique"),
-    "unknown": ("events", "event_id = 1", {"user_id": 999}, "events contain 1 unknown"),
-    "event_before": ("events", "event_id = 1", {"event_time": ts("2023-12-31")}, "event_time"),
-    "negative_session": ("events", "event_id = 1", {"session_duration": -1.0}, "session_duration"),
-    "null_session": ("events", "event_id = 1", {"session_duration": None}, "session_duration"),
-    "unknown_buyer": ("orders", "order_id = 1", {"user_id": 999}, "transactions contain 1"),
-    "order_before": ("orders", "order_id = 1", {"order_time": ts("2023-12-31")}, "order_time"),
-    "bad_amount": ("orders", "order_id = 1", {"amount": Decimal(0)}, "amount must"),
-    "bad_refund": ("orders", "order_id = 1", {"refund_amount": Decimal(101)}, "refund_amount"),
-    "null_refund": ("orders", "order_id = 1", {"refund_amount": None}, "refund_amount"),
-    "negative_refund": ("orders", "order_id = 1", {"refund_amount": Decimal(-1)}, "refund_amount"),
+    "duplicate": ("users", "user_id = 2", {"user_id": 1}, "missing or repeated"),
+    "null_user": ("users", "user_id = 2", {"user_id": None}, "missing or repeated"),
+    "unknown": ("events", "event_id = 1", {"user_id": 999}, "1 user ids of events"),
+    "event_before": ("events", "event_id = 1", {"event_time": ts("2023-12-31")}, "events lie before"),
+    "negative_session": ("events", "event_id = 1", {"session_duration": -1.0}, "1 session durations"),
+    "null_session": ("events", "event_id = 1", {"session_duration": None}, "1 session durations"),
+    "unknown_buyer": ("orders", "order_id = 1", {"user_id": 999}, "1 user ids of transactions"),
+    "order_before": ("orders", "order_id = 1", {"order_time": ts("2023-12-31")}, "orders lie before"),
+    "bad_amount": ("orders", "order_id = 1", {"amount": Decimal(0)}, "1 amounts"),
+    "bad_refund": ("orders", "order_id = 1", {"refund_amount": Decimal(101)}, "1 refunds"),
+    "null_refund": ("orders", "order_id = 1", {"refund_amount": None}, "1 refunds"),
+    "negative_refund": ("orders", "order_id = 1", {"refund_amount": Decimal(-1)}, "1 refunds"),
 }
 
 
@@ -53,10 +53,10 @@ def test_violations_are_reported_together_but_a_broken_key_alone(sample):
     orders = set_where(orders, "order_id = 1", amount=Decimal(0))
     with pytest.raises(ValueError) as both:
         quality.validate(users, events, orders)
-    assert "session_duration" in str(both.value) and "amount must" in str(both.value)
+    assert "session durations" in str(both.value) and "amounts" in str(both.value)
     with pytest.raises(ValueError) as alone:
         quality.validate(set_where(users, "user_id = 2", user_id=1), events, orders)
-    assert "unique" in str(alone.value) and "session_duration" not in str(alone.value)
+    assert "repeated" in str(alone.value) and "session durations" not in str(alone.value)
 
 
 def test_missing_user_ids_count_as_one_unknown(spark, sample):

@@ -53,7 +53,7 @@ def test_metric_documents(spark, tmp_path):
     assert [json.loads(x) for x in lines] == [{"model": "a", "mae": 1.5}, {"model": "b", "mae": None}]
     document = tmp_path / "doc.json"
     document.write_text('{\n "mae": 1.5,\n "model": "a"\n}')
-    assert readers.read_metrics(spark, str(document)).first()["mae"] == 1.5
+    assert readers.read_metrics(spark, str(document), document=True).first()["mae"] == 1.5
 
 
 def test_refresh_replaces_tables_and_empties_missing_ones(spark, sample):
@@ -69,6 +69,40 @@ def test_refresh_replaces_tables_and_empties_missing_ones(spark, sample):
     assert spark.table("refresh_db.events").count() == 0
 
 
+def test_csv_is_read_by_column_name(spark, tmp_path):
+    path = tmp_path / "users.csv"
+    path.write_text("device,user_id,note,signup_date,channel\niOS,7,x,2024-01-02,search\n")
+    df = readers.read_csv(spark, str(path), schemas.TABLES["users"])
+    assert df.columns == ["user_id", "signup_date", "channel", "device"]
+    assert tuple(df.first()) == (7, day("2024-01-02"), "search", "iOS")
+    path.write_text("user_id,signup_date\nseven,2024-01-02\n")
+    with pytest.raises(Exception, match="seven"):
+        readers.read_csv(spark, str(path), schemas.TABLES["users"]).collect()
+
+
+def test_metrics_round_trip_with_several_rows_in_a_file(spark, tmp_path):
+    rows = spark.range(5).selectExpr("id", "CAST(NULL AS STRING) AS gap", "id / 2 AS half").coalesce(1)
+    sinks.write_metrics(rows, str(tmp_path / "m"))
+    found = readers.read_metrics(spark, str(tmp_path / "m"))
+    assert sorted(r["id"] for r in found.collect()) == list(range(5))
+    (tmp_path / "one.json").write_text('{\n  "a": 1\n}')
+    assert readers.read_metrics(spark, str(tmp_path / "one.json"), document=True).first()["a"] == 1
+
+
+def test_jdbc_refresh_touches_all_tables(sample):
+    steps = sinks.jdbc_steps({"users": sample[0], "events": sample[1]})
+    assert [t for t, f in steps if f is None] == list(reversed(schemas.TABLES))
+    assert [t for t, f in steps if f is not None] == ["users", "events"]
+
+
+def test_job_refuses_a_repeated_order(sample, tmp_path):
+    users, events, orders = sample
+    with pytest.raises(ValueError, match="order_id"):
+        job.run(users, events, orders.union(orders), str(tmp_path))
+    with pytest.raises(ValueError, match="Empty"):
+        job.run(users, events, orders.limit(0), str(tmp_path))
+
+
 def test_jdbc_batches(sample):
     assert sinks.BATCH_ROWS["users"] == 5000 and sinks.BATCH_ROWS["user_snapshots"] == 3000
     assert sinks.jdbc_writer(sample[0], "users", "jdbc:none:") is not None
@@ -120,6 +154,15 @@ def test_whole_job(spark, tmp_path):
         "customer_segment STRING, recommended_action STRING"
     )
     assert matrix.count() == out.segments.count()
+    again = job.stored_segments(spark, str(tmp_path))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out.segments.select(again.columns).collect()))
+    summary = readers.read_metrics(spark, out.paths["run_summary"]).collect()
+    assert {(r["target"], r["selected_model"]) for r in summary} == {
+        ("ltv", out.ltv.selected),
+        ("churn", out.churn.selected),
+    }
+    for name in ("ltv_importance", "churn_importance", "ltv_validation"):
+        assert readers.read_metrics(spark, out.paths[name]).count() > 0
     assert {p.name for p in (tmp_path / "models").iterdir()} >= {
         "ltv_linear_regression",
         "ltv_random_forest",

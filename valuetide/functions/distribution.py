@@ -4,8 +4,10 @@ Running totals, ranks and exact quantiles need a global order.  A plain
 ``Window.orderBy`` would move every row to one partition, so rows are first
 aggregated by distinct value, the distinct values are split at approximate
 quantiles, each part is accumulated on its own, and the totals of the earlier
-parts (at most ``MAX_PARTS`` rows) are added back.  The split points are plain
-literals in the plan: a lost executor recomputes exactly the same parts.
+parts are added back.  The number of parts grows as the square root of the
+rows, and so does their size: neither the step over parts nor a part outgrows a
+task.  The split points are plain literals in the plan: a lost executor
+recomputes exactly the same parts.
 """
 
 from __future__ import annotations
@@ -17,8 +19,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_PARTS = 256
-ROWS_PER_PART = 1_000_000
+# With n rows there are sqrt(n / ROWS_PER_STEP) parts.
+ROWS_PER_STEP = 1_000
 
 
 @dataclass(frozen=True)
@@ -34,26 +36,29 @@ def profile(
     df: DataFrame,
     columns: list[str],
     totals: dict[str, Column] | None = None,
-    rows_per_part: int = ROWS_PER_PART,
+    rows_per_part: int | None = None,
 ) -> Profile:
-    """One aggregate pass: count, sums and approximate quantiles.
+    """Count and sums in one aggregate pass, approximate quantiles in another.
 
-    Only ``MAX_PARTS - 1`` numbers per column reach the driver.
+    One number for each part and column reaches the driver.  Only finite
+    quantiles split: infinite values belong to the outer parts.
     """
-    steps = [i / MAX_PARTS for i in range(1, MAX_PARTS)]
     totals = totals or {}
     row = df.agg(
-        F.count("*").alias("n"),
-        *[F.sum(e).alias(f"t_{k}") for k, e in totals.items()],
-        *[
-            F.percentile_approx(F.col(c).cast("double"), steps, 10_000).alias(f"q_{c}")
-            for c in columns
-        ],
+        F.count("*").alias("n"), *[F.sum(e).alias(f"t_{k}") for k, e in totals.items()]
     ).first()
-    parts = max(1, min(MAX_PARTS, math.ceil(row["n"] / rows_per_part)))
-    picks = [round(i * MAX_PARTS / parts) - 1 for i in range(1, parts)]
-    cuts = {c: sorted({row[f"q_{c}"][p] for p in picks}) if row[f"q_{c}"] else [] for c in columns}
-    return Profile(row["n"], {k: row[f"t_{k}"] or 0 for k in totals}, cuts)
+    found = Profile(row["n"], {k: row[f"t_{k}"] or 0 for k in totals}, {c: [] for c in columns})
+    per = row["n"] / rows_per_part if rows_per_part else math.sqrt(row["n"] / ROWS_PER_STEP)
+    parts = math.ceil(per)
+    if parts > 1:
+        steps = [i / parts for i in range(1, parts)]
+        accuracy = max(10_000, 4 * parts)
+        row = df.agg(
+            *[F.percentile_approx(F.col(c).cast("double"), steps, accuracy).alias(c) for c in columns]
+        ).first()
+        for c in columns:
+            found.cuts[c] = sorted({q for q in row[c] or () if math.isfinite(q)})
+    return found
 
 
 def assign_part(df: DataFrame, column: str, cuts: list[float], part: str) -> DataFrame:
@@ -95,8 +100,7 @@ def cumulative_by_value(
             "_part",
             *[F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(f"off_{k}") for k in measures],
         )
-        # At most MAX_PARTS rows, hence safe to broadcast.
-        out = out.join(F.broadcast(offsets), "_part")
+        out = out.join(offsets, "_part")
         for k in measures:
             out = out.withColumn(f"cum_{k}", F.col(f"cum_{k}") + F.col(f"off_{k}"))
     return out.select(value, *measures, *[f"cum_{k}" for k in measures])
@@ -151,7 +155,7 @@ def exact_quantiles(
     df: DataFrame,
     value: str,
     probabilities: dict[str, float],
-    rows_per_part: int = ROWS_PER_PART,
+    rows_per_part: int | None = None,
 ) -> DataFrame:
     """One row of exact, linearly interpolated quantiles; NULL on no rows."""
     present = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
@@ -163,7 +167,8 @@ def exact_quantiles(
         low, high = math.floor(position), math.ceil(position)
         below = F.min(F.when(F.col("cum_n") > low, F.col("v")))
         above = F.min(F.when(F.col("cum_n") > high, F.col("v")))
-        columns.append((below + (above - below) * F.lit(position - low)).alias(name))
+        between = below + (above - below) * F.lit(position - low)
+        columns.append(F.when(below == above, below).otherwise(between).alias(name))
     return running.agg(*columns)
 
 

@@ -245,7 +245,7 @@ def train_churn(
     importance = (
         importance_table(snapshots, models.featurizer.columns, models.forest)
         if models.forest is not None
-        else None
+        else snapshots.sparkSession.createDataFrame([], "feature string, importance double")
     )
     return ChurnResult(
         selected=selected,

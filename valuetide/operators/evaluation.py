@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.distribution import (
-    ROWS_PER_PART,
     Profile,
     cumulative_by_value,
     exact_quantiles,
@@ -55,7 +54,7 @@ def profile_scores(
     label: str,
     score: str,
     tie: str = "user_id",
-    rows_per_part: int = ROWS_PER_PART,
+    rows_per_part: int | None = None,
 ) -> ScoreProfile:
     return ScoreProfile(
         profile(df, [score, tie], {"positives": F.col(label)}, rows_per_part), label, score, tie
@@ -268,14 +267,33 @@ def probability_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
 def top_share_metrics(
     df: DataFrame, label: str, score: str, prof: ScoreProfile | None = None
 ) -> DataFrame:
-    """Precision, recall and lift among the top 10 % of scores, at least one row."""
+    """Precision, recall and lift among the top 10 % of scores, at least one row.
+
+    The counts per score tell where the cut falls; only the rows tied at that
+    one score are put in order, by ``user_id``.
+    """
     prof = _resolve(df, label, score, prof)
     k = max(1, math.ceil(prof.rows * TOP_SHARE))
-    ranked = rank_rows(df.select(prof.tie, score, label), score, prof.tie, label, prof.table)
-    hits = F.coalesce(F.sum(F.when(F.col("rank") <= k, F.col(label))), F.lit(0))
+    steps = score_steps(df, label, score, prof)
+    last = F.max_by(F.struct(score, "n", "pos", "cum_n", "cum_pos"), "cum_n")
+    cut = steps.where(F.col("cum_n") - F.col("n") < k).agg(last.alias("cut")).first()["cut"]
+    found = 0
+    if cut is not None:
+        found = cut["cum_pos"] or 0
+        if cut["cum_n"] > k:
+            ties = cumulative_by_value(
+                df.where(F.col(score).eqNullSafe(F.lit(cut[score]))),
+                prof.tie,
+                {"n": F.lit(1), "pos": F.col(label)},
+                prof.table.cuts[prof.tie],
+                descending=False,
+            )
+            inside = ties.where(F.col("cum_n") <= k - (cut["cum_n"] - cut["n"]))
+            found += (inside.agg(F.sum("pos")).first()[0] or 0) - (cut["pos"] or 0)
+    hits = F.lit(int(found))
     precision = ratio(hits, F.lit(min(k, prof.rows)))
     prevalence = F.try_divide(F.lit(float(prof.positives)), F.lit(float(prof.rows)))
-    return ranked.agg(
+    return df.sparkSession.range(1).select(
         precision.alias("precision_at_top_10pct"),
         ratio(hits, F.lit(max(1, prof.positives))).alias("recall_at_top_10pct"),
         F.try_divide(precision, prevalence).alias("lift_at_top_10pct"),
@@ -302,7 +320,7 @@ def calibration_curve(
     label: str,
     score: str,
     bins: int = CALIBRATION_BINS,
-    rows_per_part: int = ROWS_PER_PART,
+    rows_per_part: int | None = None,
 ) -> DataFrame:
     """Mean score and observed rate per quantile bin, non-empty bins only.
 

@@ -104,6 +104,16 @@ def _forest(size: dict, seed: int, trees: TreeSettings, **columns) -> RandomFore
     )
 
 
+def least_squares() -> LinearRegression:
+    return LinearRegression(
+        featuresCol=VECTOR,
+        labelCol="log_target",
+        predictionCol="linear_log",
+        solver="normal",
+        regParam=0.0,
+    )
+
+
 def fit_candidates(
     frame: DataFrame, features: list[str], seed: int, trees: TreeSettings = TreeSettings()
 ) -> Fitted:
@@ -122,13 +132,7 @@ def fit_candidates(
     n, pos = counts["n"], int(counts["pos"] or 0)
 
     def fit_linear():
-        return LinearRegression(
-            featuresCol=VECTOR,
-            labelCol="log_target",
-            predictionCol="linear_log",
-            solver="normal",
-            regParam=0.0,
-        ).fit(data)
+        return least_squares().fit(data)
 
     def fit_forest():
         columns = {"labelCol": "log_target", "predictionCol": "forest_log"}

@@ -20,14 +20,13 @@ VECTOR = "features"
 class TreeSettings:
     """Limits of every forest.
 
-    Each level's split statistics (trees x nodes x bins) are shuffled once per
-    input partition, so depth and bins bound the cost of training; raise them
-    for tables whose signal repays it.  ``memory_mb`` holds the statistics of
-    one pass per task.
+    Trees grow until their leaves reach the smallest allowed size; ``depth`` is
+    as deep as Spark ML goes, ``bins`` its own number of split points.
+    ``memory_mb`` holds the statistics of one pass per task.
     """
 
-    depth: int = 7
-    bins: int = 16
+    depth: int = 30
+    bins: int = 32
     memory_mb: int = 512
 
     def params(self) -> dict:
@@ -36,7 +35,11 @@ class TreeSettings:
 
 @dataclass(frozen=True)
 class Featurizer:
-    """Median imputation and vector assembly, fitted on one frame."""
+    """Median imputation and vector assembly, fitted on one frame.
+
+    Medians are exact to a thousandth of the rows' ranks; snapshot features are
+    zero-filled, so they only matter for frames from elsewhere.
+    """
 
     imputer: ImputerModel
     assembler: VectorAssembler

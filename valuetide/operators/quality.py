@@ -13,16 +13,16 @@ from pyspark.sql import functions as F
 
 from ..sources import schemas
 
-# Rule names and messages.
+# What each rule says when rows break it.
 RULES = {
-    "users_key": "users.user_id must be unique and non-null",
-    "orphan_events": "events contain {n} unknown user_id values",
-    "orphan_transactions": "transactions contain {n} unknown user_id values",
-    "event_before_signup": "event_time must be on or after signup_date",
-    "session_duration": "session_duration must be non-negative",
-    "order_before_signup": "order_time must be on or after signup_date",
-    "amount": "amount must be positive",
-    "refund": "refund_amount must be between zero and amount",
+    "users_key": "user ids are missing or repeated in {n} rows",
+    "orphan_events": "{n} user ids of events are not among the users",
+    "orphan_transactions": "{n} user ids of transactions are not among the users",
+    "event_before_signup": "{n} events lie before their user's signup",
+    "session_duration": "{n} session durations are missing or negative",
+    "order_before_signup": "{n} orders lie before their user's signup",
+    "amount": "{n} amounts are missing or not above zero",
+    "refund": "{n} refunds are missing, negative or above the amount",
 }
 
 
@@ -220,6 +220,13 @@ def table_profile(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, pieces)
 
 
+def require_key(df: DataFrame, table: str, columns: list[str]) -> None:
+    """Raise if the key repeats or has a NULL."""
+    broken = check_key(df, table, columns).first()["violations"]
+    if broken:
+        raise ValueError(f"{broken} rows of {table} break the key ({', '.join(columns)})")
+
+
 def require_rows(tables: dict[str, DataFrame]) -> None:
     """Raise if any table is empty."""
     hollow = [name for name, df in tables.items() if df.isEmpty()]

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import churn, kpi, ltv, quality, reconcile, reporting, retention, segments
 from ..operators.modeling import TreeSettings
 from ..operators.snapshots import DEFAULT_SNAPSHOTS, build_snapshots
 from ..operators.splits import assign_temporal_splits
-from ..sources import sinks
+from ..sources import readers, sinks
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,29 @@ class Outcome:
     paths: dict[str, str]
 
 
+def run_summary(spark: SparkSession, value: ltv.LtvResult, risk: churn.ChurnResult) -> DataFrame:
+    """(target, selected_model, calibration, cutoff): what segments are cut by."""
+    rows = [
+        ("ltv", value.selected, None, float(value.value_threshold)),
+        ("churn", risk.selected, "platt", float(risk.thresholds[risk.selected])),
+    ]
+    return spark.createDataFrame(
+        rows, "target string, selected_model string, calibration string, cutoff double"
+    )
+
+
+def stored_segments(spark: SparkSession, output: str) -> DataFrame:
+    """The segment table again, from what a run has written below ``output``."""
+    summary = readers.read_metrics(spark, f"{output}/metrics/run_summary")
+    cutoff = {r["target"]: r["cutoff"] for r in summary.collect()}
+    return segments.segment_customers(
+        spark.read.parquet(f"{output}/ltv_predictions"),
+        spark.read.parquet(f"{output}/churn_predictions"),
+        value_threshold=cutoff["ltv"],
+        risk_threshold=cutoff["churn"],
+    )
+
+
 def run(
     users: DataFrame,
     events: DataFrame,
@@ -58,7 +81,10 @@ def run(
         paths[name] = f"{output}/metrics/{name}"
         sinks.write_metrics(df, paths[name])
 
+    quality.require_rows({"users": users, "events": events, "transactions": transactions})
     quality.validate(users, events, transactions)
+    # Orders are counted as rows of their key, so the key has to hold.
+    quality.require_key(transactions, "transactions", ["order_id"])
 
     days = store("user_days", kpi.user_days(events))
     kpis = kpi.calculate_kpis(users, days, transactions)
@@ -89,6 +115,10 @@ def run(
     metrics("ltv_metrics", value.metrics)
     metrics("churn_metrics", risk.metrics)
     metrics("temporal_design", value.design.unionByName(risk.design))
+    metrics("ltv_validation", value.validation_metrics)
+    metrics("ltv_importance", value.importance)
+    metrics("churn_importance", risk.importance)
+    metrics("run_summary", run_summary(spark, value, risk))
 
     people = store(
         "customer_segments",
@@ -114,6 +144,8 @@ def run(
         sinks.refresh_tables(spark, database, {**frames, "customer_predictions": predictions})
         loaded = {name: spark.table(f"{database}.{name}") for name in frames}
         checks = store("reconciliation", reconcile.reconcile(frames, loaded, monthly))
+        metrics("reconciliation", checks)
+        paths["reconciliation"] = f"{output}/reconciliation"
         reconcile.require_reconciled(checks)
 
     features = reporting.customer_features(rows)

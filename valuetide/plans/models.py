@@ -1,35 +1,41 @@
-"""Queries that train: no SQL twin exists, rows and invariants are checked instead."""
+"""Queries of the model path.
 
-from __future__ import annotations
+Fitted forests and logistic models have no SQL twin; rows and invariants are
+checked instead.  What is fixed arithmetic around them has one: designs,
+scaling, least squares on one feature, the hurdle product, the Platt map.
+"""
 
-from functools import lru_cache
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.ml.feature import StandardScaler
+
+from ..functions.numbers import non_negative_expm1
 from ..operators import churn, evaluation, ltv, reporting, segments
+from ..operators.modeling import VECTOR, Featurizer
+from ..operators.snapshots import CHURN_HORIZON_DAYS, LTV_HORIZON_DAYS
+from ..operators.splits import TEST, TRAIN, require_single_test_snapshot
 from ..sources.sinks import materialize
 
 
-@lru_cache(maxsize=4)
-def _trained(spark: SparkSession, folder: str):
-    """Both bake-offs of one folder, shared by the queries of a session."""
-    from .registry import SEED, split_snapshots
+def _snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Split snapshots, stored for the passes of training."""
+    from .registry import split_snapshots
 
-    rows = materialize(split_snapshots(spark, folder), "snapshots")
-    return ltv.train_ltv(rows, SEED), churn.train_churn(rows, SEED)
+    return materialize(split_snapshots(spark, folder), "snapshots")
 
 
 def _ltv(spark, folder) -> ltv.LtvResult:
-    return _trained(spark, folder)[0]
+    return ltv.train_ltv(_snapshots(spark, folder))
 
 
 def _churn(spark, folder) -> churn.ChurnResult:
-    return _trained(spark, folder)[1]
+    return churn.train_churn(_snapshots(spark, folder))
 
 
-def model_segments(spark: SparkSession, folder: str) -> DataFrame:
-    value, risk = _trained(spark, folder)
+def _segmented(value: ltv.LtvResult, risk: churn.ChurnResult) -> DataFrame:
     return segments.segment_customers(
         value.predictions,
         risk.predictions,
@@ -38,10 +44,16 @@ def model_segments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def model_segments(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _snapshots(spark, folder)
+    return _segmented(ltv.train_ltv(rows), churn.train_churn(rows))
+
+
 def model_customer_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    value, risk = _trained(spark, folder)
+    rows = _snapshots(spark, folder)
+    value, risk = ltv.train_ltv(rows), churn.train_churn(rows)
     return segments.customer_predictions(
-        value.predictions, risk.predictions, model_segments(spark, folder)
+        value.predictions, risk.predictions, _segmented(value, risk)
     )
 
 
@@ -50,22 +62,70 @@ def model_churn_calibration(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.calibration_curve(found.scores, churn.TARGET, found.selected)
 
 
+# Inputs of the checked arithmetic.
+PLATT = churn.Calibration(0.8, -0.3)
+OLS_FEATURE = "historical_ltv"
+SCALED = ("tenure_days", "active_days_30d", "revenue_90d")
+
+
+def _design(target: str, horizon: int):
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        rows, split = _snapshots(spark, folder), f"{target}_split"
+        test = require_single_test_snapshot(rows.where(F.col(split) == TEST), target)
+        found = ltv.temporal_design(rows, split, horizon, test)
+        return found.withColumn("train_snapshots", F.array_join("train_snapshots", ","))
+
+    return run
+
+
+def model_ols_log1p(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _snapshots(spark, folder).where(F.col("ltv_split") == TRAIN)
+    target = F.log1p(F.col(ltv.TARGET).cast("double"))
+    data = Featurizer.fit(rows, [OLS_FEATURE]).transform(rows.withColumn("log_target", target), "log_target")
+    model = ltv.least_squares().fit(data)
+    found = [(round(float(model.coefficients[0]), 9), round(model.intercept, 6))]
+    return spark.createDataFrame(found, "slope double, intercept double")
+
+
+def model_scale_moments(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _snapshots(spark, folder).where(F.col("churn_split") == TRAIN)
+    data = Featurizer.fit(rows, list(SCALED)).transform(rows)
+    fitted = StandardScaler(inputCol=VECTOR, outputCol="scaled", withMean=True).fit(data)
+    found = [(c, round(float(m), 6), round(float(s), 6)) for c, m, s in zip(SCALED, fitted.mean, fitted.std)]
+    return spark.createDataFrame(found, "feature string, mean double, std double")
+
+
+def model_platt_map(spark: SparkSession, folder: str) -> DataFrame:
+    from .registry import churn_test
+
+    mapped = PLATT.apply(F.col("churn_probability"))
+    return churn_test(spark, folder).select("user_id", F.round(mapped, 9).alias("calibrated"))
+
+
+def model_hurdle_product(spark: SparkSession, folder: str) -> DataFrame:
+    from .registry import ltv_test
+
+    amount = non_negative_expm1(F.log1p(F.col("predicted_ltv")) / 2 - 1)
+    product = F.col("churn_probability") * amount
+    return ltv_test(spark, folder).select("user_id", F.round(product, 6).alias("predicted"))
+
+
 QUERIES = {
     "model_ltv_predictions": lambda s, d: _ltv(s, d).predictions,
     "model_ltv_metrics": lambda s, d: _ltv(s, d).metrics,
     "model_ltv_validation": lambda s, d: _ltv(s, d).validation_metrics,
     "model_ltv_importance": lambda s, d: reporting.top_features(_ltv(s, d).importance),
-    "model_ltv_design": lambda s, d: _ltv(s, d).design.withColumn(
-        "train_snapshots", F.array_join("train_snapshots", ",")
-    ),
+    "model_ltv_design": _design("ltv", LTV_HORIZON_DAYS),
     "model_churn_predictions": lambda s, d: _churn(s, d).predictions,
     "model_churn_metrics": lambda s, d: _churn(s, d).metrics,
     "model_churn_importance": lambda s, d: reporting.top_features(_churn(s, d).importance),
     "model_churn_thresholds": lambda s, d: _churn(s, d).calibration_table(),
     "model_churn_calibration": model_churn_calibration,
-    "model_churn_design": lambda s, d: _churn(s, d).design.withColumn(
-        "train_snapshots", F.array_join("train_snapshots", ",")
-    ),
+    "model_churn_design": _design("churn", CHURN_HORIZON_DAYS),
+    "model_ols_log1p": model_ols_log1p,
+    "model_scale_moments": model_scale_moments,
+    "model_platt_map": model_platt_map,
+    "model_hurdle_product": model_hurdle_product,
     "model_segments": model_segments,
     "model_segment_counts": lambda s, d: segments.segment_counts(model_segments(s, d)),
     "model_customer_predictions": model_customer_predictions,

@@ -6,6 +6,8 @@ and shares no code with the DataFrame operators.
 
 from __future__ import annotations
 
+import re
+
 # Common table expressions ----------------------------------------------------------
 
 _USERS = """
@@ -41,11 +43,12 @@ w_events AS (
 COMMERCE = (
     """
 w_events AS (
-  SELECT o_orderkey * 100 AS event_id, o_custkey AS user_id, o_orderdate AS event_time,
+  SELECT o_orderkey * 1000 AS event_id, o_custkey AS user_id, o_orderdate AS event_time,
          'purchase' AS event_type, CAST(o_orderkey % 60 AS DECIMAL(10,2)) AS session_duration
   FROM orders
   UNION ALL
-  SELECT l_orderkey * 100 + l_linenumber, o_custkey, l_shipdate,
+  SELECT l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber,
+           l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice), o_custkey, l_shipdate,
          CASE l_linenumber % 5 WHEN 0 THEN 'login' WHEN 1 THEN 'browse' WHEN 2 THEN 'search'
               WHEN 3 THEN 'favorite' ELSE 'add_to_cart' END,
          CAST(l_quantity AS DECIMAL(10,2))
@@ -64,6 +67,37 @@ w_events AS (
 )
 
 WORLDS = {"commerce": COMMERCE, "activity": ACTIVITY}
+SILENT = {
+    "commerce": "DATE '1996-05-01' AND DATE '1996-07-31'",
+    "activity": "DATE '2024-01-09' AND DATE '2024-01-17'",
+}
+# The clean tables, named b_*, with what a raw source may deliver.
+for _name in list(WORLDS):
+    WORLDS[f"{_name}_raw"] = (
+        re.sub(r"\bw_", "b_", WORLDS[_name])
+        + f""", x_users AS (
+  SELECT c_custkey AS user_id,
+         CAST(coalesce(b.signup_date, DATE '1995-01-01' + CAST(c_custkey % 700 AS INTEGER))
+              + CASE WHEN c_custkey % 97 = 5 THEN 400 ELSE 0 END AS DATE) AS signup_date,
+         c_mktsegment AS channel, r_name AS region,
+         CASE c_custkey % 3 WHEN 0 THEN 'Android' WHEN 1 THEN 'iOS' ELSE 'Web' END AS device
+  FROM customer LEFT JOIN b_users b ON b.user_id = c_custkey
+  LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey
+  WHERE c_custkey % 89 <> 3
+), w_users AS (
+  SELECT * FROM x_users UNION ALL SELECT * FROM x_users WHERE user_id % 501 = 7
+), w_events AS (
+  SELECT * REPLACE (CAST(CASE WHEN event_id % 211 = 4 THEN -1 ELSE session_duration END AS DECIMAL(10,2))
+                    AS session_duration)
+  FROM b_events WHERE CAST(event_time AS DATE) NOT BETWEEN {SILENT[_name]}
+), w_transactions AS (
+  SELECT order_id, user_id, order_time,
+         CAST(CASE WHEN order_id % 53 = 2 THEN 0 ELSE amount END AS DECIMAL(12,2)) AS amount,
+         CAST(CASE WHEN order_id % 59 = 1 THEN amount + 1 ELSE refund_amount END AS DECIMAL(12,2))
+           AS refund_amount
+  FROM b_transactions
+)"""
+    )
 SNAPSHOT_DATES = {
     "commerce": "generate_series(DATE '2000-07-01', DATE '2001-03-01', INTERVAL 1 MONTH)",
     "activity": "generate_series(DATE '2024-01-05', DATE '2024-01-26', INTERVAL 7 DAY)",
@@ -652,11 +686,6 @@ LEFT JOIN (SELECT CAST(least(floor(({column} - lo) / (hi - lo) * {bins}), {bins
            GROUP BY 1) c ON c.bin = b.bin"""
 
 
-def _matrix(periods: int) -> str:
-    cells = ", ".join(f'max(retention) FILTER (period = {i}) AS "{i}"' for i in range(periods))
-    return f"SELECT cohort, {cells} FROM c_rates GROUP BY cohort"
-
-
 _EDGES = ", ".join(f"quantile_cont(p, {i / 10}) AS q{i}" for i in range(1, 10))
 _SLOT = " + ".join(f"CAST(p > q{i} AS INTEGER)" for i in range(1, 10))
 
@@ -724,7 +753,62 @@ def _commerce() -> dict[str, str]:
     )
     f = _with
     return {
-        "cohort_matrix": f(COMMERCE, COHORTS, body=_matrix(84)),
+        "cohort_matrix": f(
+            COMMERCE, COHORTS, body="PIVOT c_rates ON period USING max(retention) GROUP BY cohort"
+        ),
+        **{
+            f"model_{target}_design": f(
+                *base,
+                body=f"""
+SELECT '{target}_split' AS split_column,
+       (SELECT string_agg(d, ',' ORDER BY d) FROM
+          (SELECT DISTINCT strftime(snapshot_date, '%Y-%m-%d') AS d FROM split_rows
+           WHERE {target}_split = 'train')) AS train_snapshots,
+       strftime({date}, '%Y-%m-%d') AS validation_snapshot, strftime(test, '%Y-%m-%d') AS test_snapshot,
+       {days} AS label_horizon_days
+FROM sp_dates""",
+            )
+            for target, date, days in (("ltv", "lv", 90), ("churn", "cv", 30))
+        },
+        "model_ols_log1p": f(
+            *base,
+            body="""
+SELECT round(regr_slope(y, x), 9) AS slope, round(regr_intercept(y, x), 6) AS intercept
+FROM (SELECT ln(1 + CAST(future_90d_revenue AS DOUBLE)) AS y, CAST(historical_ltv AS DOUBLE) AS x
+      FROM split_rows WHERE ltv_split = 'train')""",
+        ),
+        "model_scale_moments": f(
+            *base,
+            body="\nUNION ALL\n".join(
+                f"SELECT '{c}' AS feature, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
+                f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std FROM split_rows WHERE churn_split = 'train'"
+                for c in ("tenure_days", "active_days_30d", "revenue_90d")
+            ),
+        ),
+        "model_platt_map": f(
+            *scored,
+            body="""
+SELECT user_id, round(1 / (1 + exp(-(ln(p / (1 - p)) * CAST(0.8 AS DOUBLE) - CAST(0.3 AS DOUBLE)))), 9)
+         AS calibrated
+FROM churn_test""",
+        ),
+        "model_hurdle_product": f(
+            *scored,
+            body="""
+SELECT user_id, round(churn_probability * greatest(0, exp(ln(1 + predicted_ltv) / 2 - 1) - 1), 6)
+         AS predicted
+FROM ltv_test""",
+        ),
+        "split_audit_leaky": f(
+            *base,
+            body="""
+SELECT 'ltv' AS target, count(*) FILTER (ltv_split IN ('train', 'embargo') AND ltv_label_mature_date > lv) AS late_train,
+       CAST(0 AS BIGINT) AS late_validation
+FROM split_rows CROSS JOIN sp_dates
+UNION ALL
+SELECT 'churn', count(*) FILTER (churn_split IN ('train', 'embargo') AND churn_label_mature_date > cv), CAST(0 AS BIGINT)
+FROM split_rows CROSS JOIN sp_dates""",
+        ),
         "cohort_heatmap": f(
             COMMERCE,
             COHORTS,
@@ -913,6 +997,10 @@ def oracle_sql() -> dict[str, str]:
     for name, (parts, body) in SHARED.items():
         for world, suffix in (("commerce", ""), ("activity", "_activity")):
             filled = [p.replace("{dates}", SNAPSHOT_DATES[world]) for p in parts]
-            out[name + suffix] = _with(WORLDS[world], *filled, body=body)
+            raw = "_raw" if name.startswith("dq_") and name != "dq_summary" else ""
+            out[name + suffix] = _with(WORLDS[world + raw], *filled, body=body)
+        if name.startswith(("kpi_", "sql_", "cohort_", "retention_")):
+            filled = [p.replace("{dates}", SNAPSHOT_DATES["commerce"]) for p in parts]
+            out[f"{name}_raw"] = _with(WORLDS["commerce_raw"], *filled, body=body)
     out.update(_commerce())
     return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import scratch_path
+from ..session import delete_at_exit, scratch_path
 from . import schemas
 from .readers import DATE_FORMAT, TIMESTAMP_FORMAT
 
@@ -30,10 +30,11 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     """Write ``df`` below the shared folder and read it back.
 
     What follows starts from stored rows: tasks carry no long lineage, and a
-    lost executor costs a re-read.
+    lost executor costs a re-read.  The files go when the driver's JVM ends.
     """
     path = scratch_path(df.sparkSession, name)
     write_parquet(df, path, partition_by)
+    delete_at_exit(df.sparkSession, path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -86,15 +87,25 @@ def refresh_tables(spark: SparkSession, database: str, frames: dict[str, DataFra
 def write_jdbc(frames: dict[str, DataFrame], url: str, **options: str) -> None:
     """Full refresh of an external database: truncate and append in batches.
 
-    Children are emptied before parents and filled after them, so declared
-    foreign keys hold at every step.
+    All five tables are emptied, children before parents, whether or not a
+    frame is given; those given are then filled, parents first.  Some databases
+    refuse to truncate a table that foreign keys point to even when it is
+    empty: switch the checks off for the connection there, e.g. with
+    ``?sessionVariables=foreign_key_checks=0`` in a MySQL ``url``.
     """
-    present = [t for t in schemas.TABLES if t in frames]
-    for table in reversed(present):
-        writer = jdbc_writer(frames[table].limit(0), table, url, **options)
-        writer.mode("overwrite").option("truncate", True).save()
-    for table in present:
-        jdbc_writer(frames[table], table, url, **options).mode("append").save()
+    for table, frame in jdbc_steps(frames):
+        if frame is None:
+            spark = next(iter(frames.values())).sparkSession
+            writer = jdbc_writer(schemas.empty(spark, table), table, url, **options)
+            writer.mode("overwrite").option("truncate", True).save()
+        else:
+            jdbc_writer(frame, table, url, **options).mode("append").save()
+
+
+def jdbc_steps(frames: dict[str, DataFrame]) -> list[tuple[str, DataFrame | None]]:
+    """What a full refresh does in turn: empty a table (None) or append a frame."""
+    empty = [(t, None) for t in reversed(schemas.TABLES)]
+    return empty + [(t, frames[t]) for t in schemas.TABLES if t in frames]
 
 
 def jdbc_writer(df: DataFrame, table: str, url: str, **options: str):

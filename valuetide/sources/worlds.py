@@ -4,6 +4,11 @@ The star schema has no signup dates, devices or refunds, so two fixtures derive
 them deterministically.  ``activity`` reads the event stream (sub-day times,
 one month); ``commerce`` reads orders and line items (day-granular, seven
 years, refunds, many signup cohorts).
+
+Both are clean.  The ``raw`` form of each is what a source may deliver: all
+customers are users, also those never active; some users are missing, repeated
+or signed up late; a stretch of days is silent; some amounts, refunds and
+durations break their rules.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixture choices for the derived roles.
@@ -30,6 +35,12 @@ COMMERCE_SNAPSHOTS = [dt.date(2000, m, 1) for m in range(7, 13)] + [
 ]
 
 
+SILENT = {
+    "activity": (dt.date(2024, 1, 9), dt.date(2024, 1, 17)),
+    "commerce": (dt.date(1996, 5, 1), dt.date(1996, 7, 31)),
+}
+
+
 @dataclass(frozen=True)
 class World:
     users: DataFrame
@@ -53,20 +64,23 @@ def _pick(values: list[str], index: Column) -> Column:
     return chosen
 
 
-def _users(spark: SparkSession, folder: str, events: DataFrame) -> DataFrame:
-    """Signup is the first event day; attributes come from the customer table."""
-    signup = events.groupBy("user_id").agg(F.to_date(F.min("event_time")).alias("signup_date"))
+def _customers(spark: SparkSession, folder: str) -> DataFrame:
     place = (
         _table(spark, folder, "nation")
         .join(_table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("n_nationkey", F.col("r_name").alias("region"))
     )
-    customer = (
+    return (
         _table(spark, folder, "customer")
         .join(place, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("channel"), "region")
     )
-    return signup.join(customer, "user_id", "left").select(
+
+
+def _users(spark: SparkSession, folder: str, events: DataFrame) -> DataFrame:
+    """Signup is the first event day; attributes come from the customer table."""
+    signup = events.groupBy("user_id").agg(F.to_date(F.min("event_time")).alias("signup_date"))
+    return signup.join(_customers(spark, folder), "user_id", "left").select(
         "user_id",
         "signup_date",
         "channel",
@@ -101,9 +115,12 @@ def activity_world(spark: SparkSession, folder: str) -> World:
 
 def commerce_world(spark: SparkSession, folder: str) -> World:
     orders = _table(spark, folder, "orders")
-    lines = _table(spark, folder, "lineitem")
+    # Line numbers repeat within an order; the place in it is its own.
+    content = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*content))
+    lines = _table(spark, folder, "lineitem").withColumn("place", place)
     order_events = orders.select(
-        (F.col("o_orderkey") * 100).alias("event_id"),
+        (F.col("o_orderkey") * 1000).alias("event_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").alias("event_time"),
         F.lit("purchase").alias("event_type"),
@@ -111,7 +128,7 @@ def commerce_world(spark: SparkSession, folder: str) -> World:
     )
     owner = orders.select("o_orderkey", "o_custkey")
     line_events = lines.join(owner, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("event_id"),
+        (F.col("l_orderkey") * 1000 + F.col("place")).alias("event_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("l_shipdate").alias("event_time"),
         _pick(LINE_TYPES, F.col("l_linenumber") % 5).alias("event_type"),
@@ -137,4 +154,36 @@ def commerce_world(spark: SparkSession, folder: str) -> World:
     return World(_users(spark, folder, events), events, transactions, COMMERCE_SNAPSHOTS)
 
 
+def raw_world(spark: SparkSession, folder: str, name: str) -> World:
+    clean = WORLDS[name](spark, folder)
+    first = clean.users.select("user_id", F.col("signup_date").alias("first_day"))
+    fallback = F.date_add(F.lit(dt.date(1995, 1, 1)), (F.col("user_id") % 700).cast("int"))
+    late = F.when(F.col("user_id") % 97 == 5, 400).otherwise(0)
+    users = (
+        _customers(spark, folder)
+        .where(F.col("user_id") % 89 != 3)
+        .join(first, "user_id", "left")
+        .select(
+            "user_id",
+            F.date_add(F.coalesce("first_day", fallback), late).alias("signup_date"),
+            "channel",
+            "region",
+            _pick(DEVICES, F.col("user_id") % 3).alias("device"),
+        )
+    )
+    users = users.unionByName(users.where(F.col("user_id") % 501 == 7))
+    silent = F.to_date("event_time").between(*map(F.lit, SILENT[name]))
+    broken = F.when(F.col("event_id") % 211 == 4, -1).otherwise(F.col("session_duration"))
+    events = clean.events.where(~silent).withColumn("session_duration", broken.cast("decimal(10,2)"))
+    amount = F.when(F.col("order_id") % 53 == 2, 0).otherwise(F.col("amount"))
+    refund = F.when(F.col("order_id") % 59 == 1, F.col("amount") + 1).otherwise(F.col("refund_amount"))
+    transactions = clean.transactions.withColumns(
+        {"amount": amount.cast("decimal(12,2)"), "refund_amount": refund.cast("decimal(12,2)")}
+    )
+    return World(users, events, transactions, clean.snapshot_dates)
+
+
 WORLDS = {"activity": activity_world, "commerce": commerce_world}
+WORLDS |= {
+    f"{name}_raw": lambda spark, folder, name=name: raw_world(spark, folder, name) for name in list(WORLDS)
+}
