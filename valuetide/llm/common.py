@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,7 +16,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def reach(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    reach(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

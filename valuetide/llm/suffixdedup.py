@@ -327,11 +327,9 @@ def covered_ranges(docs: DataFrame, group: int = GROUP) -> DataFrame:
         ),
         "windows",
     )
-    shared = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # Combined by content first: an anchor's rows are then its different windows.
     by_content = store(
-        found.join(shared, "anchor")
-        .groupBy("anchor", "content", "starts")
-        .agg(
+        found.groupBy("anchor", "content", "starts").agg(
             F.count(F.lit(1)).alias("times"),
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "first")).alias("one"),
         ),
