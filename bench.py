@@ -15,6 +15,7 @@ import time
 from pyspark import StorageLevel
 
 from valuetide.operators import churn, kpi, ltv, quality, reconcile, reporting, retention, segments
+from valuetide.operators.modeling import TreeSettings
 from valuetide.operators.snapshots import build_snapshots
 from valuetide.operators.splits import assign_temporal_splits
 from valuetide.plans import registry
@@ -24,6 +25,8 @@ from valuetide.sources.worlds import World, commerce_world
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+# Forests stop at this depth here, and the printed line says so; a job's grow on.
+DEPTH = int(os.environ.get("BENCH_TREE_DEPTH", "10"))
 HEADLINE = [
     "kpi_monthly",
     "kpi_dau_mau",
@@ -105,12 +108,12 @@ def main() -> None:
     rows = descriptive()
 
     def train_ltv():
-        found = ltv.train_ltv(rows)
+        found = ltv.train_ltv(rows, trees=TreeSettings(depth=DEPTH))
         force(found.predictions, found.metrics)
         return found
 
     def train_churn():
-        found = churn.train_churn(rows)
+        found = churn.train_churn(rows, trees=TreeSettings(depth=DEPTH))
         force(found.predictions, found.metrics)
         return found
 
@@ -159,6 +162,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "cold": cold,
+                "forest_depth": DEPTH,
                 "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
                 "rows": {t: f.count() for t, f in frames.items()},
             }

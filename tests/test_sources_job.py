@@ -201,3 +201,14 @@ def test_channel_cards_match_filtering_by_hand(spark, sample):
     assert row["d1_retention"] == 1.0
     whole = reporting.executive_cards(users, events, orders, features, people).first()
     assert (whole["total_users"], whole["mau"], whole["revenue"]) == (2, 3, 90.0)
+
+
+def test_trained_queries_notice_changed_tables(spark, tmp_path):
+    from valuetide.plans import models
+
+    for name in ("customer", "nation", "region", "orders", "lineitem"):
+        spark.range(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    before = models.table_state(spark, str(tmp_path))
+    assert before == models.table_state(spark, str(tmp_path))
+    spark.range(4).write.mode("overwrite").parquet(str(tmp_path / "orders.parquet"))
+    assert before != models.table_state(spark, str(tmp_path))

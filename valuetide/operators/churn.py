@@ -23,6 +23,7 @@ from .modeling import (
     importance_table,
     keep_in_memory,
     positive_probability,
+    training_rows,
 )
 from .snapshots import CHURN_HORIZON_DAYS, feature_columns
 from .splits import TEST, TRAIN, VALIDATION, require_single_test_snapshot, split_column
@@ -114,7 +115,7 @@ def fit_models(
     """Fit both families with balanced classes; one-class data yields a constant."""
     featurizer = Featurizer.fit(train, features)
     label = F.col(TARGET).cast("double")
-    data = keep_in_memory(featurizer.transform(train.select("*", label.alias("label")), "label"))
+    data = training_rows(featurizer.transform(train.select("*", label.alias("label")), "label"))
     counts = data.agg(F.count("*").alias("n"), F.sum("label").alias("pos")).first()
     n, pos = counts["n"], int(counts["pos"] or 0)
     scaler = StandardScaler(

@@ -21,8 +21,8 @@ from .modeling import (
     balanced_weight,
     fit_together,
     importance_table,
-    keep_in_memory,
     positive_probability,
+    training_rows,
 )
 from .snapshots import LTV_HORIZON_DAYS, feature_columns
 from .splits import TEST, TRAIN, VALIDATION, require_single_test_snapshot, split_column
@@ -127,7 +127,7 @@ def fit_candidates(
     labelled = frame.select(
         "*", F.log1p(target).alias("log_target"), (target > 0).cast("double").alias("is_positive")
     )
-    data = keep_in_memory(featurizer.transform(labelled, "log_target", "is_positive"))
+    data = training_rows(featurizer.transform(labelled, "log_target", "is_positive"))
     counts = data.agg(F.count("*").alias("n"), F.sum("is_positive").alias("pos")).first()
     n, pos = counts["n"], int(counts["pos"] or 0)
 

@@ -30,7 +30,13 @@ class TreeSettings:
     memory_mb: int = 512
 
     def params(self) -> dict:
-        return {"maxDepth": self.depth, "maxBins": self.bins, "maxMemoryInMB": self.memory_mb}
+        return {
+            "maxDepth": self.depth,
+            "maxBins": self.bins,
+            "maxMemoryInMB": self.memory_mb,
+            # Deep trees: rows remember their node instead of walking each tree again.
+            "cacheNodeIds": True,
+        }
 
 
 @dataclass(frozen=True)
@@ -62,11 +68,22 @@ class Featurizer:
         return PipelineModel([self.imputer, self.assembler, *stages])
 
 
+# A task of training aggregates the split statistics of a whole group of nodes
+# whatever its rows, so small tables are read by few tasks.
+ROWS_PER_TASK = 100_000
+
+
 def keep_in_memory(df: DataFrame) -> DataFrame:
     """Reused by several fits; spills to disk where memory is short."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def training_rows(df: DataFrame) -> DataFrame:
+    """``df`` kept in memory, in as many partitions as its rows need."""
+    tasks = max(1, -(-df.count() // ROWS_PER_TASK))
+    return keep_in_memory(df.coalesce(tasks))
+
+
 def fit_together(spark: SparkSession, *fits: Callable[[], object]) -> list:
     """Run independent fits as concurrent Spark jobs, as cross-validation does.
 

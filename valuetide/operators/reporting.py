@@ -84,11 +84,13 @@ def executive_cards(
     if channel is not None:
         users = users.where(F.col("channel") == channel)
         members = users.select("user_id")
-        events, transactions, features, segments = (
-            t.join(members, "user_id", "left_semi")
-            for t in (events, transactions, features, segments)
+        transactions, features, segments = (
+            t.join(members, "user_id", "left_semi") for t in (transactions, features, segments)
         )
+    # Events meet the members as user-days, not as raw rows.
     days = kpi.user_days(events)
+    if channel is not None:
+        days = days.join(members, "user_id", "left_semi")
     row = measures(users, kpi.dau(days), kpi.monthly_kpis(days, transactions), features, segments)
     cards = row.select(
         "total_users", "mau", "dau_mau", "revenue", "arpu", "churn_rate", "avg_predicted_ltv"
