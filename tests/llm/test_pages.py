@@ -107,3 +107,36 @@ def test_pages_table_gives_the_articles(spark):
 def test_empty_pages_table(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string, text string")
     assert pagediff.extract(none).collect() == []
+
+
+def by_page(spark, rows):
+    df = spark.createDataFrame([(k, f"http://h.example/a/{k:03}", h) for k, h in enumerate(rows)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in pagediff.extract(df).collect()}
+
+
+def test_shared_lines_inside_main_go_and_own_lines_outside_stay(spark):
+    shared = "<div>Home</div><div>Terms apply</div>"
+    page = "<div>Top</div><main>{s}<article><p>teaser {k}</p></article>{s}</main><div><p>body {k}</p></div>"
+    got = by_page(spark, [page.format(s=shared, k=k) for k in range(12)])
+    assert got == {k: f"teaser {k}\nbody {k}" for k in range(12)}
+
+
+def test_copies_of_an_article_do_not_delete_each_other(spark):
+    page = "<div>Top</div><main><div>Home</div><p>one {k}</p><p>two {k}</p></main>"
+    names = [0, 1, 1, 1, 1, 2]
+    got = by_page(spark, [page.format(k=k) for k in names])
+    assert got == {n: f"one {k}\ntwo {k}" for n, k in enumerate(names)}
+
+
+def test_a_lone_copy_keeps_its_article():
+    lines = pagediff.page_lines("<div>Top</div><article><p>a</p><p>b</p></article>")
+    assert pagediff.main_text(lines, {0, 1, 2}) == "a\nb"
+
+
+def test_many_shared_lines_do_not_make_copies(spark):
+    """40 shared lines and 3 own ones, with runs of exact copies, without and with furniture marks."""
+    for border in ("div", "nav"):
+        menu = "".join(f"<{border}>m {k}</{border}>" for k in range(40))
+        names = [0, 1, 2, 3, 3, 3, 3, 4, 5]
+        got = by_page(spark, [menu + "".join(f"<p>t{i} {k}</p>" for i in range(3)) for k in names])
+        assert got == {n: f"t0 {k}\nt1 {k}\nt2 {k}" for n, k in enumerate(names)}

@@ -4,10 +4,11 @@ Pages of one host whose URL paths are closest carry the same menus, notices
 and footers.  Pages are put in order of (host, path); each is compared with
 the neighbour that shares the longer path prefix.  The text lines of the two
 are aligned by their longest common subsequence, and what they share is
-deleted, except inside an element that the page itself marks as its article,
-where a copy of an article would otherwise delete itself.  Elements that are
-page furniture by name, class or role go as well, since a host may have one
-page only.
+deleted, also inside an element that the page marks as its article, unless the
+neighbour has a copy of that article.  Elements that are page furniture by
+name, class or role go before, since a host may have one page only, and take no
+part in the comparison.  Pages of a host with equal lines are one in the order,
+so their neighbours are other pages, and share the result.
 
 Only line hashes are put in order, by ranges of (host, path), so no host is
 held by one task; the first and last pages of a range, whose neighbours are
@@ -75,7 +76,7 @@ ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'
 NAME_PART = re.compile(r"[a-z]+")
 
 OUTSIDE, INSIDE, DROPPED = 0, 1, 2
-# What part of the lines two pages may share before they count as copies.
+# What part of its lines a page may share before the other one may be a copy.
 COPY_SHARE = 0.9
 
 
@@ -163,12 +164,26 @@ def page_lines(html: str) -> list[tuple[str, int]]:
     return lines
 
 
+def content(html: str) -> list[tuple[str, int]]:
+    """The lines of a page without its furniture."""
+    return [line for line in page_lines(html) if line[1] != DROPPED]
+
+
+def article_copied(inside: list[bool], shared: set[int]) -> bool:
+    """Whether so much of the marked article is shared that it is a copy."""
+    own = [k for k, marked in enumerate(inside) if marked]
+    return bool(own) and sum(k in shared for k in own) >= COPY_SHARE * len(own)
+
+
 def main_text(lines: list[tuple[str, int]], shared: set[int]) -> str:
-    """The lines of the article, or where none is marked those that are not shared."""
-    if any(zone == INSIDE for _, zone in lines):
-        return "\n".join(text for text, zone in lines if zone == INSIDE)
+    """The lines that are not furniture and not shared; a copied article stays.
+
+    ``shared`` counts the lines without furniture.
+    """
+    lines = [line for line in lines if line[1] != DROPPED]
+    copied = article_copied([zone == INSIDE for _, zone in lines], shared)
     return "\n".join(
-        text for k, (text, zone) in enumerate(lines) if zone == OUTSIDE and k not in shared
+        text for k, (text, zone) in enumerate(lines) if k not in shared or (copied and zone == INSIDE)
     )
 
 
@@ -208,16 +223,22 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
 def shared_with(page: dict, before: dict | None, after: dict | None) -> list[int]:
     """Lines that the page shares with the neighbour of the longer common path.
 
-    A neighbour that is a copy of the page tells nothing about furniture, so
-    the other one is asked then.
+    The lowest bit of a line tells whether it is inside an article.  A
+    neighbour that may be a copy, of the article or of nearly all lines, tells
+    nothing about furniture, so the other one is asked then.  Where both may
+    be copies, the lines that both have go.
     """
     near = [p for p in (before, after) if p and p["host"] == page["host"]]
     near.sort(key=lambda p: -len(commonprefix((p["path"], page["path"]))))
+    own, inside = [x >> 1 for x in page["lines"]], [x & 1 == 1 for x in page["lines"]]
+    both: list[int] | None = None
     for other in near:
-        shared = common_lines(page["lines"], other["lines"])
-        if len(shared) < COPY_SHARE * max(len(page["lines"]), len(other["lines"]), 1):
+        shared = common_lines(own, [x >> 1 for x in other["lines"]])
+        alike = len(shared) >= COPY_SHARE * max(len(own), len(other["lines"]), 1)
+        if not alike and not article_copied(inside, set(shared)):
             return shared
-    return []
+        both = shared if both is None else sorted(set(both) & set(shared))
+    return both or []
 
 
 def host_and_path(url: str | None) -> tuple[str, str]:
@@ -228,7 +249,7 @@ def host_and_path(url: str | None) -> tuple[str, str]:
         return "", url or ""
 
 
-OUTLINE = "page_id long, key long, host string, path string, lines array<long>"
+OUTLINE = "page_id long, key long, host string, path string, outline long, lines array<long>"
 PAIRED = "page_id long, key long, host string, path string, lines array<long>, shared array<int>, role int"
 # Rows of PAIRED: settled, at the edge of a range, or next to an edge.
 SETTLED, EDGE, NEXT = 0, 1, 2
@@ -250,15 +271,19 @@ def _arrow(ddl_names: list[str]) -> pa.Schema:
 
 
 def outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = _arrow(["page_id", "key", "host", "path", "lines"])
+    schema = _arrow(["page_id", "key", "host", "path", "outline", "lines"])
     for batch in batches:
         rows = []
         for page, key, url, html in zip(*(c.to_pylist() for c in batch.columns)):
             host, path = host_and_path(url)
             hashes = [
-                xxhash.xxh64_intdigest(text) - (1 << 63) for text, _ in page_lines(html or "")
+                ((xxhash.xxh64_intdigest(text) - (1 << 63)) & ~1) | (zone == INSIDE)
+                for text, zone in content(html or "")
             ]
-            rows.append({"page_id": page, "key": key, "host": host, "path": path, "lines": hashes})
+            outline = xxhash.xxh64_intdigest(",".join(map(str, hashes))) - (1 << 63)
+            rows.append(
+                {"page_id": page, "key": key, "host": host, "path": path, "outline": outline, "lines": hashes}
+            )
         yield _batch(rows, schema)
 
 
@@ -321,13 +346,26 @@ def pair_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def shared_lines(pages: DataFrame) -> DataFrame:
     """(page_id, key, shared): places of the lines each page shares with its neighbour."""
     order = ["host", "path", "page_id", "key"]
-    own = pages.mapInArrow(outlines, OUTLINE).dropDuplicates(["page_id", "key"])
-    dealt = own.repartitionByRange(*order).sortWithinPartitions(*order)
+    own = store(pages.mapInArrow(outlines, OUTLINE), "outlines")
+    # Pages of equal lines stand together at the first of their places.
+    place = F.min(F.struct("path", F.col("page_id").isNull().alias("none"), "page_id", "key")).alias("place")
+    distinct = own.groupBy("host", "outline").agg(place, F.first("lines").alias("lines"))
+    distinct = distinct.select("place.page_id", "place.key", "host", "place.path", "lines")
+    dealt = distinct.repartitionByRange(*order).sortWithinPartitions(*order)
     paired = store(dealt.mapInArrow(pair_range, PAIRED), "paired")
     # At most four pages of each range; their number is that of the partitions.
     edges = paired.filter(F.col("role") != SETTLED).coalesce(1).sortWithinPartitions(*order)
     settled = paired.filter(F.col("role") == SETTLED).select("page_id", "key", "shared")
-    return settled.union(edges.mapInArrow(pair_edges, "page_id long, key long, shared array<int>"))
+    found = settled.union(edges.mapInArrow(pair_edges, "page_id long, key long, shared array<int>"))
+    # (page_id, key) stands for one page and so for one host and outline.
+    names = own.select("page_id", "key", "host", "outline").distinct()
+    heads = found.select(F.col("page_id").alias("__head"), F.col("key").alias("__of"), "shared")
+    known = names.join(
+        heads, F.col("page_id").eqNullSafe(F.col("__head")) & (F.col("key") == F.col("__of"))
+    ).select(F.col("host").alias("__host"), F.col("outline").alias("__outline"), "shared")
+    return names.join(
+        known, (F.col("host") == F.col("__host")) & (F.col("outline") == F.col("__outline"))
+    ).select("page_id", "key", "shared")
 
 
 def page_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
