@@ -140,3 +140,9 @@ def test_many_shared_lines_do_not_make_copies(spark):
         names = [0, 1, 2, 3, 3, 3, 3, 4, 5]
         got = by_page(spark, [menu + "".join(f"<p>t{i} {k}</p>" for i in range(3)) for k in names])
         assert got == {n: f"t0 {k}\nt1 {k}\nt2 {k}" for n, k in enumerate(names)}
+
+
+@pytest.mark.parametrize("mark", ["id='related-work'", "id='search'", "class='ad-hoc'", "class='share-price wide'"])
+def test_sections_of_an_article_named_like_furniture_stay(mark):
+    assert text(f"<article><section {mark}><h2 id='social'>H</h2><p>t</p></section></article>") == "H\nt"
+    assert text("<article><p>t</p><div class='wide share'>s</div></article>") == "t"

@@ -73,6 +73,7 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+HEADED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 NAME_PART = re.compile(r"[a-z]+")
 
 OUTSIDE, INSIDE, DROPPED = 0, 1, 2
@@ -81,7 +82,11 @@ COPY_SHARE = 0.9
 
 
 def is_furniture(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether the element is no part of the text by its name, role or class."""
+    """Whether the element is no part of the text by its name, role or class.
+
+    Inside an article only whole class names and ids count, and no ids of
+    headings and sections, which name what stands there.
+    """
     if tag in FURNITURE and not (inside and tag == "header"):
         return True
     if tag in ("html", "body", "main") or "=" not in attributes:
@@ -91,9 +96,12 @@ def is_furniture(tag: str, attributes: str, inside: bool) -> bool:
         if name.lower() == "role":
             if value in FURNITURE_ROLES:
                 return True
-        elif not FURNITURE_NAMES.isdisjoint(NAME_PART.findall(value)):
-            if not (inside and "header" in value):
+        elif inside:
+            named = name.lower() == "id" and tag in HEADED
+            if not named and not FURNITURE_NAMES.isdisjoint(value.split()) and "header" not in value:
                 return True
+        elif not FURNITURE_NAMES.isdisjoint(NAME_PART.findall(value)):
+            return True
     return False
 
 
