@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary, classifier, decontam, mixing, pagediff, quality, secrets, simhash, sql, suffixdedup, tokencount
+from . import (
+    binary,
+    classifier,
+    decontam,
+    dialogs,
+    mixing,
+    pagediff,
+    pieces,
+    quality,
+    secrets,
+    simhash,
+    sql,
+    suffixdedup,
+    tokencount,
+    vectorcodes,
+)
 from .common import read
 
 
@@ -50,6 +65,18 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.overlap_counts(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op11_dialog_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return dialogs.damaged_repairs(read(spark, folder, "conversations"))
+
+
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.piece_digests(read(spark, folder, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vectorcodes.compress(read(spark, folder, "embeddings"))
+
+
 QUERIES = (
     op1_secret_scan,
     op2_pareto_mix,
@@ -61,6 +88,9 @@ QUERIES = (
     op8_token_files,
     op9_page_differencing,
     op10_decontamination,
+    op11_dialog_repair,
+    op12_sentencepiece,
+    op13_vector_codes,
 )
 
 

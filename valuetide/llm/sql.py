@@ -50,6 +50,51 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+
+def vector_codes() -> str:
+    """All parts against all entries, as rows of components."""
+    rounds, last = [], "book0"
+    for k in range(3):
+        rounds.append(f"""
+apart{k} AS (
+  SELECT r, part, entry, sum((c.v - b.v) * (c.v - b.v)) AS d
+  FROM components c JOIN {last} b USING (part, place) GROUP BY r, part, entry
+), codes{k} AS (
+  SELECT r, part, min({{'d': d, 'entry': entry}}).entry AS entry, min(d) AS d FROM apart{k} GROUP BY r, part
+)""")
+        if k < 2:
+            rounds.append(f"""
+means{k} AS (
+  SELECT part, entry, place, sum(v) AS s, count(*) AS n
+  FROM components JOIN codes{k} USING (r, part) GROUP BY part, entry, place
+), book{k + 1} AS (
+  SELECT part, entry, place, CASE WHEN n IS NULL THEN b.v ELSE CAST((s - ((s % n) + n) % n) / n AS BIGINT) END AS v
+  FROM book{k} b LEFT JOIN means{k} USING (part, entry, place)
+)""")
+            last = f"book{k + 1}"
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id, embedding) - 1 AS r
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), numbered AS (
+  SELECT r, CAST(len(embedding) / 16 AS BIGINT) AS width, unnest(range(0, len(embedding))) AS pos, unnest(embedding) AS x FROM kept
+), components AS (
+  SELECT r, CAST(floor(pos / width) AS BIGINT) AS part, pos % width AS place, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS v FROM numbered
+), book0 AS (
+  SELECT part, r AS entry, place, v FROM components WHERE r < 64
+),{",".join(rounds)},
+books AS (
+  SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM {last}
+), coded AS (
+  SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM codes2 GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), books
+"""
+
+
 ORACLES = {"op2_pareto_mix": PARETO_MIX}
 
 FOLDED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -206,4 +251,5 @@ ORACLES |= {
     "op1_secret_scan": secret_scan(),
     "op4_line_quality": LINE_QUALITY,
     "op10_decontamination": DECONTAMINATION,
+    "op13_vector_codes": vector_codes(),
 }
