@@ -41,17 +41,19 @@ def test_texts_of_hard_characters(library):
     planes = [range(1, 0xD800), range(0xE000, 0x110000)]
     texts += ["".join(chr(rng.choice(rng.choice(planes))) for _ in range(500)) for _ in range(40)]
     texts += ["a" * 50_000 + "the" * 20_000, " " * 30_000, "", " ", "▁", "  x  "]
-    for text in texts:
-        assert own.encode(text) == library.encode(text), text[:80]
+    for text, found in zip(texts, own.encode(texts)):
+        assert found == (library.encode(text), True), text[:80]
+        assert own.by_list(text[:400]) == own.by_heap(text[:400])
 
 
 def test_agenda_prefers_high_scores_then_the_left():
     own = pieces.Pieces.__new__(pieces.Pieces)
-    own.scores = {"ab": -1.0, "bc": 0.0, "aa": -2.0, "aab": -5.0}
-    assert own.symbols("abc") == ["a", "bc"]
-    assert own.symbols("aaa") == ["aa", "a"]
-    assert own.symbols("aab") == ["aab"] and own.symbols("aac") == ["aa", "c"]
-    assert own.symbols("") == []
+    own.costs = {"ab": 1.0, "bc": 0.0, "aa": 2.0, "aab": 5.0}
+    for symbols in (own.by_list, own.by_heap):
+        assert symbols("abc") == ["a", "bc"]
+        assert symbols("aaa") == ["aa", "a"]
+        assert symbols("aab") == ["aab"] and symbols("aac") == ["aa", "c"]
+        assert symbols("") == []
 
 
 def test_ids_and_texts_come_back(spark, library):
@@ -69,5 +71,12 @@ def test_long_batches_are_cut(spark, library, monkeypatch):
     assert list(pieces._slices(["abc", None, "de", "f"])) == [(0, 3), (3, 4)]
 
 
+def test_a_differing_run_is_told(library):
+    own = pieces.Pieces(public_tokenizer(NAME)())
+    own.ids["▁world"] += 1
+    texts = ["hello there", "hello world", "a world " + "x" * 200, "hello ", ""]
+    assert [agrees for _, agrees in own.encode(texts)] == [True, False, False, True, True]
+
+
 def test_no_documents(none):
     assert pieces.piece_digests(none).collect() == []

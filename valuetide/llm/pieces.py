@@ -2,18 +2,20 @@
 
 A normalised text starts as its characters.  Every two neighbours whose
 joined string is a piece stand on an agenda, the highest score first, the
-leftmost of equal scores.  The top pair is merged unless one of the two has
-changed since; the merged symbol's pairs with its neighbours join the agenda.
-What is left when the agenda is empty are the text's pieces; characters that
-are no piece become their bytes.
+leftmost of equal scores.  The top pair is merged and the merged symbol's
+pairs with its neighbours take their places.  What is left when the agenda is
+empty are the text's pieces; characters that are no piece become their bytes.
+The agenda of a long text is a heap, in which pairs that have changed since are
+passed over; a short one's is a plain list, in order of place.
 
 Where no piece has a space sign behind another character, no pair crosses the
 edge before a space sign, so the runs between these edges are encoded each for
 itself and a worker keeps the ids of recent ones.  A vocabulary with such a
 piece has its texts encoded whole.
 
-Texts go through one narrow map in Arrow batches.  The library encodes the
-same batch and tells for each text whether it agrees, and it decodes the ids.
+Texts go through one narrow map in Arrow batches.  What a batch holds of runs
+that the worker does not know is encoded by the agenda and, in one call, by the
+library; a text agrees if all of its runs do.  The library decodes the ids.
 """
 
 from __future__ import annotations
@@ -23,8 +25,9 @@ import heapq
 import re
 from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import chain
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +36,10 @@ from pyspark.sql import types as T
 from .binary import public_tokenizer
 from .common import Recent
 
-CACHE_RUNS = 400_000
+CACHE_RUNS = 600_000
 CACHED_CHARS = 64
+SHORT_CHARS = 48
+NEVER = float("inf")
 BATCH_CHARS = 4_000_000
 
 # Fixed value: the sign that stands for a space in pieces.
@@ -60,21 +65,39 @@ class Pieces:
         if any(library.is_unused(i) for i in own):
             raise ValueError("vocabularies with unused pieces are not supported")
         self.ids = {names[i]: i for i in own}
-        self.scores = {names[i]: library.get_score(i) for i in own}
+        self.costs = {names[i]: -library.get_score(i) for i in own}
         self.unknown = library.unk_id()
         self.whole = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
-        self.recent = Recent(lambda runs: list(map(self.run_ids, runs)), CACHE_RUNS)
+        self.differing: set[str] = set()
+        self.recent = Recent(self.checked, CACHE_RUNS)
 
     def symbols(self, text: str) -> list[str]:
         """What is left of the characters of ``text`` when no pair can be merged."""
+        return self.by_list(text) if len(text) <= SHORT_CHARS else self.by_heap(text)
+
+    def by_list(self, text: str) -> list[str]:
+        cost = self.costs.get
+        symbols = list(text)
+        agenda = [cost(pair, NEVER) for pair in map(str.__add__, text, text[1:])]
+        while agenda and (least := min(agenda)) < NEVER:
+            k = agenda.index(least)
+            merged = symbols[k] = symbols[k] + symbols.pop(k + 1)
+            del agenda[k]
+            if k < len(agenda):
+                agenda[k] = cost(merged + symbols[k + 1], NEVER)
+            if k:
+                agenda[k - 1] = cost(symbols[k - 1] + merged, NEVER)
+        return symbols
+
+    def by_heap(self, text: str) -> list[str]:
         held: list[str | None] = list(text)
-        scores, n = self.scores, len(text)
+        costs, n = self.costs, len(text)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda: list[tuple[float, int, int, str]] = []
         for k in range(n - 1):
             pair = held[k] + held[k + 1]
-            if (score := scores.get(pair)) is not None:
-                agenda.append((-score, k, k + 1, pair))
+            if (cost := costs.get(pair)) is not None:
+                agenda.append((cost, k, k + 1, pair))
         heapq.heapify(agenda)
         while agenda:
             _, left, right, pair = heapq.heappop(agenda)
@@ -87,15 +110,15 @@ class Pieces:
             if follows < n:
                 before[follows] = left
                 joined = pair + held[follows]
-                if (score := scores.get(joined)) is not None:
-                    heapq.heappush(agenda, (-score, left, follows, joined))
+                if (cost := costs.get(joined)) is not None:
+                    heapq.heappush(agenda, (cost, left, follows, joined))
             if (leads := before[left]) >= 0:
                 joined = held[leads] + pair
-                if (score := scores.get(joined)) is not None:
-                    heapq.heappush(agenda, (-score, leads, left, joined))
+                if (cost := costs.get(joined)) is not None:
+                    heapq.heappush(agenda, (cost, leads, left, joined))
         return [s for s in held if s is not None]
 
-    def run_ids(self, text: str) -> tuple[int, ...]:
+    def run_ids(self, text: str) -> list[int]:
         found = self.ids.get
         out: list[int] = []
         for symbol in self.symbols(text):
@@ -106,22 +129,40 @@ class Pieces:
             else:
                 out.append(self.unknown)
         if self.bytes or self.unknown not in out:
-            return tuple(out)
+            return out
         # Without bytes, neighbouring unknown characters share one id.
-        return tuple(i for k, i in enumerate(out) if i != self.unknown or k == 0 or out[k - 1] != i)
-
-    def encode(self, text: str) -> list[int]:
-        """The ids of a text, after the vocabulary's own normalisation."""
-        normal = self.library.normalize(text)
-        if self.whole or not self.bytes:
-            return list(self.run_ids(normal)) if normal else []
-        runs = RUN.findall(normal)
-        if all(len(r) <= CACHED_CHARS for r in runs):
-            return list(chain.from_iterable(self.recent(runs)))
+        return [i for k, i in enumerate(out) if i != self.unknown or k == 0 or out[k - 1] != i]
+
+    def checked(self, runs: list[str]) -> list[bytes]:
+        """The ids of runs as 32-bit words; runs that the library encodes otherwise are noted."""
+        ids = list(map(self.run_ids, runs))
+        # The library puts its space sign before a text, so a run's own first one is left out.
+        bare = [r.removeprefix(SPACE).replace(SPACE, " ") for r in runs]
+        theirs = self.library.encode(bare, num_threads=1)
+        self.differing.update(r for r, x, y in zip(runs, ids, theirs) if x != y and r != SPACE)
+        return [np.array(x, "<u4").tobytes() for x in ids]
+
+    def runs(self, normal: str) -> list[str]:
+        """Parts of a normalised text that are encoded each for itself."""
+        if self.whole or not self.bytes or not normal.startswith(SPACE):
+            return [normal] if normal else []
+        return RUN.findall(normal)
+
+    def encode(self, texts: list[str]) -> list[tuple[list[int], bool]]:
+        """For each text its ids, and whether the library agrees."""
+        runs = [self.runs(n) for n in map(self.library.normalize, texts)]
         # Long runs hardly come again and would fill the cache.
-        short = iter(self.recent([r for r in runs if len(r) <= CACHED_CHARS]))
-        parts = [next(short) if len(r) <= CACHED_CHARS else self.run_ids(r) for r in runs]
-        return list(chain.from_iterable(parts))
+        ids = iter(self.recent([r for own in runs for r in own if len(r) <= CACHED_CHARS]))
+        out = []
+        for own in runs:
+            if not own or len(max(own, key=len)) <= CACHED_CHARS:
+                parts = list(islice(ids, len(own)))
+            else:
+                long = iter(self.checked([r for r in own if len(r) > CACHED_CHARS]))
+                parts = [next(ids if len(r) <= CACHED_CHARS else long) for r in own]
+            agrees = not self.differing or self.differing.isdisjoint(own)
+            out.append((np.frombuffer(b"".join(parts), "<u4").tolist(), agrees))
+        return out
 
 
 @cache
@@ -167,16 +208,14 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple]:
         texts = batch.column(1).to_pylist()
         for a, b in _slices(texts):
             some = [t or "" for t in texts[a:b]]
-            ids = list(map(pieces.encode, some))
-            theirs = pieces.library.encode(some, num_threads=1)
-            agrees = [x == y for x, y in zip(ids, theirs)]
+            ids, agrees = map(list, zip(*pieces.encode(some)))
             yield batch.column(0).slice(a, b - a), ids, pieces.library.decode(ids, num_threads=1), agrees
 
 
 def piece_digests(docs: DataFrame, name: str = "piece_bpe_32k.model") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, agrees) of every row.
 
-    ``agrees`` says whether the library gives the same ids for the text.  NULL
+    ``agrees`` says whether the library gives the same ids for the text's runs.  NULL
     and empty texts have no ids and decode to the empty text.  Rows are encoded
     each for itself, whatever their ids and however often they come; extra
     columns are left out; an empty table gives no rows.
