@@ -4,8 +4,9 @@ Pages of one host whose URL paths are closest carry the same menus, notices
 and footers.  Pages are put in order of (host, path); each is compared with
 the neighbour that shares the longer path prefix.  The text lines of the two
 are aligned by their longest common subsequence, and what they share is
-deleted, also inside an element that the page marks as its article, unless the
-neighbour has a copy of that article.  Elements that are page furniture by
+deleted.  Inside an element that the page marks as its article, chance makes
+equal sentences too: there only lines go that both neighbours share and that
+stand at its beginning or end, and never a heading.  Elements that are page furniture by
 name, class or role go before, since a host may have one page only, and take no
 part in the comparison.  Pages of a host with equal lines are one in the order,
 so their neighbours are other pages, and share the result.
@@ -76,7 +77,10 @@ ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'
 HEADED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 NAME_PART = re.compile(r"[a-z]+")
 
-OUTSIDE, INSIDE, DROPPED = 0, 1, 2
+# HEADING: inside, and a heading.
+OUTSIDE, INSIDE, DROPPED, HEADING = 0, 1, 2, 3
+MARKED = (INSIDE, HEADING)
+TITLES = frozenset("h1 h2 h3 h4 h5 h6".split())
 # What part of its lines a page may share before the other one may be a copy.
 COPY_SHARE = 0.9
 
@@ -110,7 +114,8 @@ def page_lines(html: str) -> list[tuple[str, int]]:
 
     A line is what stands between two block borders, character references
     decoded, white space made single, trimmed; blank ones are left out.  Zones:
-    INSIDE an article or main element, OUTSIDE, or DROPPED as furniture.
+    INSIDE an article or main element or HEADING there, OUTSIDE, or DROPPED as
+    furniture.
     """
     lines: list[tuple[str, int]] = []
     stack: list[tuple[str, int]] = []
@@ -120,7 +125,8 @@ def page_lines(html: str) -> list[tuple[str, int]]:
         if buffer:
             text = " ".join(unescape("".join(buffer)).split())
             if text:
-                lines.append((text, zone))
+                title = zone == INSIDE and not TITLES.isdisjoint(name for name, _ in stack)
+                lines.append((text, HEADING if title else zone))
             buffer.clear()
 
     def close(names: tuple[str, ...], scopes: frozenset[str]) -> int:
@@ -189,9 +195,9 @@ def main_text(lines: list[tuple[str, int]], shared: set[int]) -> str:
     ``shared`` counts the lines without furniture.
     """
     lines = [line for line in lines if line[1] != DROPPED]
-    copied = article_copied([zone == INSIDE for _, zone in lines], shared)
+    copied = article_copied([zone in MARKED for _, zone in lines], shared)
     return "\n".join(
-        text for k, (text, zone) in enumerate(lines) if k not in shared or (copied and zone == INSIDE)
+        text for k, (text, zone) in enumerate(lines) if k not in shared or (copied and zone in MARKED)
     )
 
 
@@ -228,25 +234,43 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return [*range(low), *reversed(chain), *range(len(a) - end, len(a))]
 
 
+def rims(marked: list[int], shared: set[int], headings: set[int]) -> set[int]:
+    """Shared lines at the beginning and the end of the marked ones, if others are left."""
+    found: set[int] = set()
+    for order in (marked, marked[::-1]):
+        for k in order:
+            if k not in shared or k in headings:
+                break
+            found.add(k)
+    return found if len(found) < len(marked) else set()
+
+
 def shared_with(page: dict, before: dict | None, after: dict | None) -> list[int]:
-    """Lines that the page shares with the neighbour of the longer common path.
+    """Lines of the page that go because its neighbours have them.
 
-    The lowest bit of a line tells whether it is inside an article.  A
-    neighbour that may be a copy, of the article or of nearly all lines, tells
-    nothing about furniture, so the other one is asked then.  Where both may
-    be copies, the lines that both have go.
+    The lowest bits of a line tell whether it is inside an article and a
+    heading.  Lines outside are settled by the neighbour of the longer common
+    path.  A neighbour that may be a copy, of the article or of nearly all
+    lines, tells nothing about furniture, so the other one is asked then; where
+    both may be copies, the lines that both have count as shared.
     """
     near = [p for p in (before, after) if p and p["host"] == page["host"]]
     near.sort(key=lambda p: -len(commonprefix((p["path"], page["path"]))))
-    own, inside = [x >> 1 for x in page["lines"]], [x & 1 == 1 for x in page["lines"]]
-    both: list[int] | None = None
+    own = [x >> 2 for x in page["lines"]]
+    inside = [x & 1 == 1 for x in page["lines"]]
+    told: list[set[int]] = []
+    copies: list[set[int]] = []
     for other in near:
-        shared = common_lines(own, [x >> 1 for x in other["lines"]])
+        shared = set(common_lines(own, [x >> 2 for x in other["lines"]]))
         alike = len(shared) >= COPY_SHARE * max(len(own), len(other["lines"]), 1)
-        if not alike and not article_copied(inside, set(shared)):
-            return shared
-        both = shared if both is None else sorted(set(both) & set(shared))
-    return both or []
+        (copies if alike or article_copied(inside, shared) else told).append(shared)
+    if not told and not copies:
+        return []
+    everywhere = set.intersection(*(told or copies))
+    outside = told[0] if told else everywhere
+    marked = [k for k, own in enumerate(inside) if own]
+    headings = {k for k, x in enumerate(page["lines"]) if x & 2}
+    return sorted({k for k in outside if not inside[k]} | rims(marked, everywhere, headings))
 
 
 def host_and_path(url: str | None) -> tuple[str, str]:
@@ -285,8 +309,7 @@ def outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page, key, url, html in zip(*(c.to_pylist() for c in batch.columns)):
             host, path = host_and_path(url)
             hashes = [
-                ((xxhash.xxh64_intdigest(text) - (1 << 63)) & ~1) | (zone == INSIDE)
-                for text, zone in content(html or "")
+                ((xxhash.xxh64_intdigest(text) - (1 << 63)) & ~3) | zone for text, zone in content(html or "")
             ]
             outline = xxhash.xxh64_intdigest(",".join(map(str, hashes))) - (1 << 63)
             rows.append(
