@@ -17,10 +17,9 @@ from pyspark.sql import functions as F
 
 from .common import store, words
 
-# A line goes when at least MIN_DOCS documents and the share MIN_SHARE of its
-# host's documents hold it; a document when less than MIN_LEFT of its words stay.
-MIN_DOCS = 20
-MIN_SHARE = 0.01
+# A line goes when at least MIN_DOCS documents of its host hold it, whatever the
+# host's size; a document when less than MIN_LEFT of its words stay.
+MIN_DOCS = 3
 MIN_LEFT = 0.5
 MIN_WORDS = 50
 MOST_REPEATED = 50
@@ -108,23 +107,16 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     ).drop("normal")
 
 
-def common_lines(rows: DataFrame, min_docs: int, min_share: float) -> DataFrame:
+def common_lines(rows: DataFrame, min_docs: int) -> DataFrame:
     """(h): lines that too many documents of their host hold."""
-    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    each = rows.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
-    held = each.groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= min_docs)
-    known = hosts.withColumnRenamed("host", "__host")
-    return (
-        held.join(known, F.col("host").eqNullSafe(F.col("__host")))
-        .filter(F.col("docs") >= F.lit(min_share) * F.col("host_docs"))
-        .select("h")
-    )
+    each = rows.select(F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+    held = each.groupBy("h").agg(F.count(F.lit(1)).alias("docs"))
+    return held.filter(F.col("docs") >= min_docs).select("h")
 
 
 def apply_rules(
     docs: DataFrame,
     min_docs: int = MIN_DOCS,
-    min_share: float = MIN_SHARE,
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
     """The digest row of each document, with ``n_common_words`` in removed lines.
@@ -140,7 +132,7 @@ def apply_rules(
     lost = (
         rows.select("row", F.explode("lines").alias("line"))
         .select("row", "line.h", "line.words")
-        .join(common_lines(rows, min_docs, min_share), "h")
+        .join(common_lines(rows, min_docs), "h")
         .groupBy("row")
         .agg(F.sum("words").alias("n_common_words"))
     )

@@ -5,7 +5,8 @@ narrowest character class that holds it, and a window slides over it: the sum
 of c * log2(c) over the counts c of its characters is updated for the one
 character that leaves and the one that enters, and tells the Shannon entropy.
 Windows at or above the class's threshold become spans.  An allow list keeps
-words, numbers, identifiers and place-holders out.
+words, numbers and identifiers out as a whole, and place-holders where a window
+holds one.
 
 All of it is DataFrame expressions on one row: nothing is shuffled.
 """
@@ -44,10 +45,8 @@ ALLOWED = (
     r"^[A-Za-z]+([-_/+=]+[A-Za-z]+)*[-_/+=]*$",
     r"^[0-9+/_=-]+$",
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    either_case("example"),
-    either_case("placeholder"),
-    r"[Xx]{4}",
 )
+PLACE_HOLDERS = (either_case("example"), either_case("placeholder"), "[Xx]{4}")
 # A candidate is cut into pieces that overlap by a window less one, so that a
 # step costs the same in a long one.
 PIECE = 1000
@@ -116,11 +115,12 @@ def entropy_spans(candidates: str) -> Column:
     ) + " END"
     suspicious = " AND ".join(f"NOT c.string RLIKE '{p}'" for p in ALLOWED)
     terms = "array(" + ", ".join(f"{t}L" for t in TERMS) + ")"
+    fake = "|".join(PLACE_HOLDERS)
     w, step = WINDOW, PIECE - WINDOW + 1
     pieces = f"""flatten(transform(filter({candidates}, c -> {suspicious}), c ->
       transform(sequence(0, greatest(0, (length(c.string) - {w}) DIV {step})), k -> struct(
         c.start + k * {step} AS base, {limits} AS most,
-        substr(c.string, k * {step} + 1, {PIECE}) AS s))))"""
+        c.string RLIKE '{fake}' AS fake, substr(c.string, k * {step} + 1, {PIECE}) AS s))))"""
     # In a step, ``kept`` is the window without the character that leaves.
     leaving = f"IF(i > {w}, substr(p.s, i - {w}, 1), '')"
     kept = f"IF(i > {w}, substr(p.s, i - {w - 1}, {w - 1}), substr(p.s, 1, i - 1))"
@@ -129,7 +129,7 @@ def entropy_spans(candidates: str) -> Column:
     added = f"element_at({terms}, {count('x.came')} + 2) - element_at({terms}, {count('x.came')} + 1)"
     total = f"""element_at(transform(array(struct({leaving} AS gone, substr(p.s, i, 1) AS came, {kept} AS kept)),
       x -> a.total + {without} + {added}), 1)"""
-    hit = f"i >= {w} AND t <= p.most"
+    hit = f"i >= {w} AND t <= p.most AND NOT (p.fake AND substr(p.s, i - {w - 1}, {w}) RLIKE '{fake}')"
     grown = f"""CASE WHEN NOT ({hit}) THEN a.spans
       WHEN size(a.spans) > 0 AND element_at(a.spans, -1).end >= p.base + i - {w}
         THEN concat(slice(a.spans, 1, size(a.spans) - 1),

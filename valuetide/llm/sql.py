@@ -152,12 +152,8 @@ WITH docs AS (
   FROM (SELECT r, host, unnest(raw) AS line FROM split)
 ), held AS (
   SELECT host, line, count(DISTINCT r) AS n FROM lines GROUP BY host, line
-), hosts AS (
-  SELECT host, count(*) AS n FROM docs GROUP BY host
 ), common AS (
-  SELECT held.host, line
-  FROM held JOIN hosts ON held.host IS NOT DISTINCT FROM hosts.host
-  WHERE held.n >= 20 AND held.n >= 0.01::DOUBLE * hosts.n
+  SELECT host, line FROM held WHERE n >= 3
 ), lost AS (
   SELECT r, sum(len(string_split(lines.line, ' '))) AS n
   FROM lines JOIN common ON lines.line = common.line AND lines.host IS NOT DISTINCT FROM common.host
@@ -219,7 +215,7 @@ WITH docs AS (
   FROM (SELECT *, unnest(range(1, length(string) - {s.WINDOW - 2})) AS k FROM candidates)
 ), high AS (
   SELECT r, pos + k - 1 AS a FROM windows
-  WHERE list_sum(list_transform(list_distinct(chars), lambda c:
+  WHERE NOT regexp_matches(array_to_string(chars, ''), '{"|".join(s.PLACE_HOLDERS)}') AND list_sum(list_transform(list_distinct(chars), lambda c:
         {terms}[len(list_filter(chars, lambda x: x = c)) + 1])) <= most
 ), stepped AS (
   SELECT r, a, CASE WHEN a - lag(a) OVER (PARTITION BY r ORDER BY a) <= {s.WINDOW} THEN 0 ELSE 1 END AS fresh
