@@ -7,7 +7,9 @@ each worker, filled by encoding what neither tier knows.  Pre-tokens are never
 shuffled: documents go through one narrow map.
 
 Both tiers hold true lengths, so the sample behind the table sways the speed
-and no count.
+and no count.  It is a hash sample of the whole corpus, counted where it lies:
+each task sends a bounded list of its commonest pre-tokens, and only these
+lists are added up.
 """
 
 from __future__ import annotations
@@ -27,8 +29,13 @@ from .common import Recent
 
 TOKEN_LIMIT = 2048
 TABLE_PIECES = 65_536
-SAMPLE_DOCS = 4_096
+SAMPLE_ONE_IN = 32
+TASK_PIECES = 8_192
 CACHE_PIECES = 400_000
+# Capitals like U+0181 have small letters beyond the plain ones: the library counts those texts.
+LOWERED = re.compile("[" + re.escape("".join(
+    c for c in map(chr, range(0x250)) if PLAIN.fullmatch(c) and PLAIN.fullmatch(c.lower())
+)) + "]*")
 
 # Fixed value: how the word vocabulary splits a text in lower case.
 PIECES = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+")
@@ -55,7 +62,7 @@ class Counts:
         return [len(tokenize(byte_letters(p))) for p in pieces]
 
     def __call__(self, text: str) -> int:
-        if not PLAIN.fullmatch(text) or self.special.search(text):
+        if not LOWERED.fullmatch(text) or self.special.search(text):
             return len(self.library.encode(text, add_special_tokens=False).ids)
         pieces = PIECES.findall(text.lower())
         found = list(map(self.frequent.get, pieces))
@@ -79,35 +86,42 @@ def unpack(packed: tuple[bytes, bytes]) -> dict[str, int]:
 
 
 def frequent_pieces(
-    docs: DataFrame, tokenizer: Callable[[], str], sample_docs: int, size: int
+    docs: DataFrame, tokenizer: Callable[[], str], one_in: int, size: int
 ) -> tuple[bytes, bytes]:
-    """The commonest pre-tokens of a bounded sample with their lengths, packed.
+    """The commonest pre-tokens of every ``one_in``-th document with their lengths, packed.
 
-    At most ``size`` pieces of at most 64 characters, whatever the corpus.
+    Documents are picked by hash of id and length.  A task sends at most
+    ``TASK_PIECES`` pieces of at most 64 characters, and the driver gets at most
+    ``size`` of them, whatever the corpus.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if text and PLAIN.fullmatch(text):
+                if LOWERED.fullmatch(text):
                     seen.update(p for p in PIECES.findall(text.lower()) if len(p) <= 64)
-        pieces = [p for p, _ in seen.most_common(size)]
-        lengths = Counts(tokenizer(), {}).lengths(pieces) if pieces else []
+            if len(seen) > 64 * TASK_PIECES:
+                seen = Counter(dict(seen.most_common(8 * TASK_PIECES)))
+        pieces = seen.most_common(TASK_PIECES)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(pieces, pa.string()), pa.array(lengths, pa.int64())], ["piece", "n"]
+            [pa.array([p for p, _ in pieces], pa.string()), pa.array([n for _, n in pieces], pa.int64())],
+            ["piece", "n"],
         )
 
-    sample = docs.select(F.col("text").cast("string")).limit(sample_docs).coalesce(1)
-    rows = sample.mapInArrow(run, "piece string, n long").collect()
-    return pack({r.piece: r.n for r in rows})
+    picked = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(one_in)) == 0
+    sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(picked & F.col("text").isNotNull())
+    counts = sample.select("text").mapInArrow(run, "piece string, n long")
+    common = counts.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(size)
+    pieces = [r.piece for r in common.collect()]
+    return pack(dict(zip(pieces, Counts(tokenizer(), {}).lengths(pieces))))
 
 
 def count_tokens(
     docs: DataFrame,
     tokenizer: Callable[[], str],
     limit: int = TOKEN_LIMIT,
-    sample_docs: int = SAMPLE_DOCS,
+    one_in: int = SAMPLE_ONE_IN,
     table_pieces: int = TABLE_PIECES,
 ) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every row.
@@ -117,7 +131,7 @@ def count_tokens(
     itself, whatever their ids; extra columns are left out.
     """
     shared = docs.sparkSession.sparkContext.broadcast(
-        frequent_pieces(docs, tokenizer, sample_docs, table_pieces)
+        frequent_pieces(docs, tokenizer, one_in, table_pieces)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
