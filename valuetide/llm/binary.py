@@ -23,7 +23,9 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,7 @@ from .common import Recent
 MAGIC, VERSION = 0x54494445, 1
 END_ID = 0
 CACHE_PIECES = 400_000
+SHARD_BYTES, MOST_SHARDS = 256 << 20, 1 << 20
 
 # In texts of these characters only, Python's classes equal the library's.
 LETTERS = "".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == "L")
@@ -85,10 +88,18 @@ class Encoder:
         encoded = self.library.encode(text, add_special_tokens=False)
         return np.array(encoded.ids, self.kind).tobytes()
 
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; the pieces of all of them are looked up together."""
+        split = [
+            PIECES.findall(t) if PLAIN.fullmatch(t) and not self.special.search(t) else None for t in texts
+        ]
+        found = iter(self.recent([p for own in split if own for p in own]))
+        return [
+            self.ids(t) if own is None else b"".join(islice(found, len(own))) for t, own in zip(texts, split)
+        ]
+
     def __call__(self, text: str) -> bytes:
-        if not PLAIN.fullmatch(text) or self.special.search(text):
-            return self.ids(text)
-        return b"".join(self.recent(PIECES.findall(text)))
+        return self.texts([text])[0]
 
 
 @cache
@@ -101,18 +112,25 @@ def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
-def _save(path: str, parts: list) -> None:
-    """Write and rename, so that the name stands for a complete file only."""
+@contextmanager
+def _draft(path: str) -> Iterator:
+    """A stream to write, renamed when complete, so that the name stands for a whole file only."""
     files, place = _filesystem(path)
     folder, name = place.rsplit("/", 1)
     files.create_dir(folder, recursive=True)
     draft = f"{folder}/_{name}-{uuid.uuid4().hex}"
     with files.open_output_stream(draft) as out:
-        for part in parts:
-            out.write(part)
+        yield out
     files.move(draft, place)
 
 
+def shard_count(docs: DataFrame) -> int:
+    """Shards of about ``SHARD_BYTES`` by the plan's estimate, as many as shuffles have tasks at least."""
+    estimate = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(-(-estimate // SHARD_BYTES), MOST_SHARDS))
+
+
 def write_tokens(
     docs: DataFrame,
     path: str,
@@ -130,33 +148,35 @@ def write_tokens(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = None, b""
-        ids: list[int | None] = []
-        pieces: list[bytes] = []
-        for batch in batches:
-            if encode is None:
-                encode = encoder(tokenizer())
-                end = np.array([end_id], encode.kind).tobytes()
-            ids += batch.column(0).to_pylist()
-            pieces += [encode(t or "") + end for t in batch.column(1).to_pylist()]
-        if not ids:
+        filled = (b for b in batches if b.num_rows)
+        if (batch := next(filled, None)) is None:
             return
-        shard = TaskContext.get().partitionId()
-        width = encode.kind.itemsize
-        offsets = np.concatenate(([0], np.cumsum([len(p) // width for p in pieces]))).astype("<u8")
-        header = np.array([MAGIC, VERSION, width, len(ids), offsets[-1]], "<u8")
-        names = np.array([0 if i is None else i for i in ids], "<i8")
-        absent = np.array([i is None for i in ids], "<u8")
-        _save(f"{path}/part-{shard:06d}.bin", pieces)
-        _save(f"{path}/part-{shard:06d}.idx", [x.tobytes() for x in (header, offsets, names, absent)])
+        encode = encoder(tokenizer())
+        shard, width = TaskContext.get().partitionId(), encode.kind.itemsize
+        end = np.array([end_id], encode.kind).tobytes()
+        # Of the ids only the documents' ends stay in memory.
+        names, absent, ends = array("q"), array("Q"), array("Q", [0])
+        with _draft(f"{path}/part-{shard:06d}.bin") as out:
+            for batch in chain([batch], filled):
+                for i in batch.column(0).to_pylist():
+                    names.append(i or 0)
+                    absent.append(i is None)
+                pieces = encode.texts([t or "" for t in batch.column(1).to_pylist()])
+                out.write(end.join([*pieces, b""]))
+                for piece in pieces:
+                    ends.append(ends[-1] + len(piece) // width + 1)
+        header = np.array([MAGIC, VERSION, width, len(names), ends[-1]], "<u8")
+        with _draft(f"{path}/part-{shard:06d}.idx") as out:
+            for part in (header, np.array(ends, "<u8"), np.array(names, "<i8"), np.array(absent, "<u8")):
+                out.write(part.tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([shard]), pa.array([len(ids)]), pa.array([int(offsets[-1])])],
+            [pa.array([shard]), pa.array([len(names)]), pa.array([ends[-1]], pa.int64())],
             ["shard", "n_docs", "n_ids"],
         )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = (F.col("doc_id").asc_nulls_first(), F.col("text"))
-    dealt = rows.repartitionByRange(*([shards] if shards else []), F.col("doc_id").asc_nulls_first())
+    dealt = rows.repartitionByRange(shards or shard_count(docs), F.col("doc_id").asc_nulls_first())
     written = dealt.sortWithinPartitions(*order).mapInArrow(run, "shard long, n_docs long, n_ids long")
     # The shards are written here, once; the manifest has one row for each.
     found = sorted(tuple(r) for r in written.collect())
@@ -165,6 +185,17 @@ def write_tokens(
     return manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)))
 
 
+class Remote:
+    """Ids in a file that cannot be mapped, read by the slices that are asked for."""
+
+    def __init__(self, file, kind: str):
+        self.file, self.kind = file, np.dtype(kind)
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        width = self.kind.itemsize
+        return np.frombuffer(self.file.read_at((part.stop - part.start) * width, part.start * width), self.kind)
+
+
 def open_shard(path: str, shard: int):
     """(ids, offsets, doc ids, absent) of a shard, memory-mapped where it is local."""
 
@@ -172,6 +203,8 @@ def open_shard(path: str, shard: int):
         files, place = _filesystem(f"{path}/{name}")
         if isinstance(files, pafs.LocalFileSystem):
             return np.memmap(place, kind, "r") if os.path.getsize(place) else np.empty(0, kind)
+        if name.endswith(".bin"):
+            return Remote(files.open_input_file(place), kind)
         with files.open_input_file(place) as file:
             return np.frombuffer(file.read(), kind)
 
