@@ -27,10 +27,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import row_key, store
+from .passages import shared_passages
 
 LENGTH = 400
 GRAM = 128
@@ -405,17 +406,27 @@ def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = list(zip(*rows)) or [()] * 4
         yield pa.RecordBatch.from_arrays(
             [batch.column(0)]
-            + [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()))],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+            + [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()))]
+            + [batch.column(3)],
+            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages"],
         )
 
 
 def with_ranges(docs: DataFrame, group: int = GROUP) -> DataFrame:
-    """(doc_id, text, ranges) of every row; ``ranges`` is NULL without duplicates."""
+    """(doc_id, text, ranges, n_passages) of every row; NULL and 0 without duplicates."""
     rows = docs.select("doc_id", row_key().alias("key"), F.col("text").cast("string").alias("text"))
-    found = covered_ranges(rows, group)
-    found = found.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "ranges")
-    return rows.join(found, same_row(rows, found), "left").select("doc_id", "text", "ranges")
+    found = covered_ranges(rows, group).select(number("doc_id", "key").alias("__row"), "ranges")
+    passages = shared_passages(rows.select(number("doc_id", "key").alias("row"), "text"))
+    found = found.join(passages.withColumnRenamed("row", "__row"), "__row", "full")
+    return (
+        rows.join(found, number("doc_id", "key") == F.col("__row"), "left")
+        .select("doc_id", "text", "ranges", F.coalesce("n_passages", F.lit(0)).cast("long").alias("n_passages"))
+    )
+
+
+def number(doc_id: str, key: str) -> Column:
+    """A number of the rows of one id and text."""
+    return F.xxhash64(F.col(doc_id).isNull(), F.col(doc_id), F.col(key))
 
 
 def removed_bytes(docs: DataFrame, group: int = GROUP) -> DataFrame:
@@ -423,11 +434,12 @@ def removed_bytes(docs: DataFrame, group: int = GROUP) -> DataFrame:
 
     A NULL text is an empty one.  Texts of fewer than ``LENGTH`` bytes hold no
     string and stay whole.  Rows that repeat another are documents of their
-    own, so both lose all their strings.  Extra columns are left out; an empty
-    table gives no rows.
+    own, so both lose all their strings.  ``n_passages`` counts the strings of
+    51 words that a document of another id or text has, whatever their bytes.
+    Extra columns are left out; an empty table gives no rows.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     return with_ranges(docs, group).mapInArrow(
         _digest_rows,
-        f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
+        f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long",
     )
