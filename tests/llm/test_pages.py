@@ -104,6 +104,32 @@ def test_pages_table_gives_the_articles(spark):
         assert tuple(r.text.split("\n")[1:]) in known, r.page_id
 
 
+def test_no_page_loses_a_line_of_its_article(spark):
+    """The larger table, where chance makes equal sentences in neighbours."""
+    folder = "/root/testdata/sf0.1"
+    lines = lambda text: tuple(y for x in (text or "").split("\n") if (y := " ".join(x.split())))
+    known = {lines(r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("text").collect()}
+    got = queries.queries()["op9_page_differencing"](spark, folder).collect()
+    assert len(got) == 2500 and all(tuple(r.text.split("\n")[1:]) in known for r in got)
+
+
+def test_long_pages_and_clashing_columns(spark):
+    body = "".join(f"<p>line {k}</p>" for k in range(30_000))
+    pages = [f"<div>Top</div><p>own {k}</p>{body if k == 3 else ''}" for k in range(6)]
+    rows = [(k, f"http://h.example/a/{k}", h) for k, h in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    df = df.selectExpr("*", "'own' AS text", "1 AS key", "'own' AS shared", "2 AS host", "3 AS n_shared", "4 AS lines")
+    got = {r.page_id: r for r in pagediff.extract(df).collect()}
+    assert [got[k].text for k in (0, 1, 2, 4, 5)] == [f"own {k}" for k in (0, 1, 2, 4, 5)]
+    assert got[3].text.split("\n") == ["own 3", *(f"line {k}" for k in range(30_000))]
+
+
+def test_equal_sentences_of_neighbours_stay(spark):
+    page = "<div>Top</div><main><div>Home</div><h1>News</h1><p>one {k}</p><p>The end.</p></main>"
+    got = by_page(spark, [page.format(k=k) for k in range(8)])
+    assert got == {k: f"News\none {k}\nThe end." for k in range(8)}
+
+
 def test_empty_pages_table(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string, text string")
     assert pagediff.extract(none).collect() == []

@@ -5,8 +5,9 @@ and footers.  Pages are put in order of (host, path); each is compared with
 the neighbour that shares the longer path prefix.  The text lines of the two
 are aligned by their longest common subsequence, and what they share is
 deleted.  Inside an element that the page marks as its article, chance makes
-equal sentences too: there only lines go that both neighbours share and that
-stand at its beginning or end, and never a heading.  Elements that are page furniture by
+equal sentences too: there headings, paragraphs and what an article element
+holds stay, and of other lines those go that stand at the beginning or end of
+the marked part, in the neighbours as well.  Elements that are page furniture by
 name, class or role go before, since a host may have one page only, and take no
 part in the comparison.  Pages of a host with equal lines are one in the order,
 so their neighbours are other pages, and share the result.
@@ -77,10 +78,10 @@ ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'
 HEADED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 NAME_PART = re.compile(r"[a-z]+")
 
-# HEADING: inside, and a heading.
-OUTSIDE, INSIDE, DROPPED, HEADING = 0, 1, 2, 3
-MARKED = (INSIDE, HEADING)
-TITLES = frozenset("h1 h2 h3 h4 h5 h6".split())
+# PROSE: inside, and in an element that holds the text itself.
+OUTSIDE, INSIDE, DROPPED, PROSE = 0, 1, 2, 3
+MARKED = (INSIDE, PROSE)
+PROSE_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre article".split())
 # What part of its lines a page may share before the other one may be a copy.
 COPY_SHARE = 0.9
 
@@ -114,8 +115,7 @@ def page_lines(html: str) -> list[tuple[str, int]]:
 
     A line is what stands between two block borders, character references
     decoded, white space made single, trimmed; blank ones are left out.  Zones:
-    INSIDE an article or main element or HEADING there, OUTSIDE, or DROPPED as
-    furniture.
+    INSIDE a marked part or PROSE there, OUTSIDE, or DROPPED as furniture.
     """
     lines: list[tuple[str, int]] = []
     stack: list[tuple[str, int]] = []
@@ -125,8 +125,8 @@ def page_lines(html: str) -> list[tuple[str, int]]:
         if buffer:
             text = " ".join(unescape("".join(buffer)).split())
             if text:
-                title = zone == INSIDE and not TITLES.isdisjoint(name for name, _ in stack)
-                lines.append((text, HEADING if title else zone))
+                prose = zone == INSIDE and not PROSE_TAGS.isdisjoint(name for name, _ in stack)
+                lines.append((text, PROSE if prose else zone))
             buffer.clear()
 
     def close(names: tuple[str, ...], scopes: frozenset[str]) -> int:
@@ -234,22 +234,27 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return [*range(low), *reversed(chain), *range(len(a) - end, len(a))]
 
 
-def rims(marked: list[int], shared: set[int], headings: set[int]) -> set[int]:
-    """Shared lines at the beginning and the end of the marked ones, if others are left."""
-    found: set[int] = set()
-    for order in (marked, marked[::-1]):
-        for k in order:
-            if k not in shared or k in headings:
+def common_rims(page: list[int], others: list[list[int]]) -> set[int]:
+    """Places of marked lines at the beginning and the end that all ``others`` have there too.
+
+    Prose ends a rim.  Nothing counts where no line would be left.
+    """
+    marked = [k for k, x in enumerate(page) if x & 1]
+    found: list[int] = []
+    for step in (1, -1):
+        sides = [[x for x in other if x & 1][::step] for other in others]
+        for n, k in enumerate(marked[::step]):
+            if page[k] & 2 or any(n >= len(side) or side[n] != page[k] for side in sides):
                 break
-            found.add(k)
-    return found if len(found) < len(marked) else set()
+            found.append(k)
+    return set(found) if len(found) < len(marked) else set()
 
 
 def shared_with(page: dict, before: dict | None, after: dict | None) -> list[int]:
     """Lines of the page that go because its neighbours have them.
 
-    The lowest bits of a line tell whether it is inside an article and a
-    heading.  Lines outside are settled by the neighbour of the longer common
+    The lowest bits of a line tell whether it is inside a marked part and
+    prose.  Lines outside are settled by the neighbour of the longer common
     path.  A neighbour that may be a copy, of the article or of nearly all
     lines, tells nothing about furniture, so the other one is asked then; where
     both may be copies, the lines that both have count as shared.
@@ -258,19 +263,17 @@ def shared_with(page: dict, before: dict | None, after: dict | None) -> list[int
     near.sort(key=lambda p: -len(commonprefix((p["path"], page["path"]))))
     own = [x >> 2 for x in page["lines"]]
     inside = [x & 1 == 1 for x in page["lines"]]
-    told: list[set[int]] = []
-    copies: list[set[int]] = []
+    told: list[tuple[set[int], list[int]]] = []
+    copies: list[tuple[set[int], list[int]]] = []
     for other in near:
         shared = set(common_lines(own, [x >> 2 for x in other["lines"]]))
         alike = len(shared) >= COPY_SHARE * max(len(own), len(other["lines"]), 1)
-        (copies if alike or article_copied(inside, shared) else told).append(shared)
+        (copies if alike or article_copied(inside, shared) else told).append((shared, other["lines"]))
     if not told and not copies:
         return []
-    everywhere = set.intersection(*(told or copies))
-    outside = told[0] if told else everywhere
-    marked = [k for k, own in enumerate(inside) if own]
-    headings = {k for k, x in enumerate(page["lines"]) if x & 2}
-    return sorted({k for k in outside if not inside[k]} | rims(marked, everywhere, headings))
+    outside = told[0][0] if told else set.intersection(*(shared for shared, _ in copies))
+    edges = common_rims(page["lines"], [lines for _, lines in told or copies])
+    return sorted({k for k in outside if not inside[k]} | edges)
 
 
 def host_and_path(url: str | None) -> tuple[str, str]:
