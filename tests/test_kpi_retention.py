@@ -4,7 +4,7 @@ import pytest
 
 from tests.conftest import EVENTS, USERS, day, frame, ts
 from valuetide.operators import kpi, retention
-from valuetide.sources import schemas
+from valuetide.sources import schemas, sinks
 
 
 def rows(df, *keys):
@@ -133,6 +133,12 @@ def test_silent_cohort_is_null_throughout(spark, censoring):
 def test_matrix_has_one_column_per_period(censoring):
     matrix = retention.cohort_matrix(retention.cohort_retention(*censoring))
     assert matrix.columns == ["cohort", "0", "1", "2"]
+    assert [tuple(r) for r in matrix.orderBy("cohort").collect()] == [
+        ("2024-01", 0.5, 0.0, 0.5),
+        ("2024-03", 1.0, None, None),
+    ]
+    wide = retention.cohort_matrix(retention.cohort_retention(*censoring), periods=400)
+    assert len(wide.columns) == 401 and wide.select("399").first()[0] is None
 
 
 def test_dimension_without_hits_is_null_and_missing_day_zero(spark, sample):
@@ -158,6 +164,50 @@ def test_hot_user_is_one_row_per_day(spark):
     assert [r["dau"] for r in kpi.dau(hot).collect()] == [1, 1, 1]
 
 
+def test_one_pass_counts_equal_distinct_users(spark):
+    """Weeks, months and days of made user-days, NULL users and dates among them, by brute force."""
+    import random
+
+    rng = random.Random(2)
+    start = dt.date(2023, 12, 20)
+    rows = {(rng.choice([1, 2, 3, 4, 5, None]), start + dt.timedelta(rng.randrange(90))) for _ in range(150)}
+    rows |= {(7, None), (1, start), (None, start - dt.timedelta(3))}
+    days = frame(spark, sorted(rows, key=repr), "user_id long, date date")
+    held = [(u, d) for u, d in rows if d]
+    monday = lambda d: d + dt.timedelta((7 - d.weekday()) % 7)
+    for found, bucket in (
+        (kpi.dau(days), lambda d: d),
+        (kpi.wau(days), monday),
+        (kpi.mau(days), lambda d: d.replace(day=1)),
+    ):
+        want = {}
+        for u, d in held:
+            want.setdefault(bucket(d), set()).update({u} - {None})
+        got = {tuple(r)[0]: tuple(r)[1] for r in found.collect()}
+        assert {k: v for k, v in got.items() if v} == {k: len(v) for k, v in want.items() if v}
+        assert min(got) == min(want) and max(got) == max(want)
+
+
+def test_user_days_are_exchanged_once(spark, sample):
+    users, events, _ = sample
+    days = sinks.materialize(kpi.user_days(events), "days")
+    plan = kpi.daily_activity(days)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(user_id") == 1 and "Expand" not in plan
+    kept = retention.calculate_retention(users, events)
+    alone = retention.day_n_retention(users, events).collect()
+    assert kept.summary.collect() == alone
+    for name in ("channel", "device"):
+        one = retention.retention_by(users, events, name)
+        assert sorted(one.collect()) == sorted(getattr(kept, f"by_{name}").collect())
+
+
+def test_repeated_users_count_once(spark, censoring):
+    users, events = censoring
+    again = users.unionByName(frame(spark, [(2, day("2024-01-20"), "b", "Web")], USERS))
+    cells = {(r["cohort"], r["period"]): r["active_users"] for r in retention.cohort_counts(again, events).collect()}
+    assert cells == {(day("2024-01-01"), 0): 1, (day("2024-01-01"), 1): 0, (day("2024-01-01"), 2): 1, (day("2024-03-01"), 0): 1, (day("2024-03-01"), 1): 0, (day("2024-03-01"), 2): 0}
+
+
 def test_headline(sample):
     row = kpi.headline(kpi.monthly_kpis(sample[1], sample[2])).first()
     assert (row["total_revenue"], row["average_mau"], row["latest_mau"]) == (90.0, 1.5, 1)

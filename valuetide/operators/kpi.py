@@ -2,18 +2,20 @@
 
 All distinct-user counts start from ``user_days``: one row per user and active
 day, combined on the map side, so neither a hot user nor a hot day reaches a
-single task as raw rows.
+single task as raw rows.  ``daily_activity`` reduces them, with one exchange by
+user, to one row a day that serves days, weeks and months alike.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import fill_gaps, month_start, week_ending_monday
 from ..functions.numbers import net_revenue, ratio
+from ..sources.sinks import materialize
 
 
 def user_days(events: DataFrame) -> DataFrame:
@@ -23,32 +25,57 @@ def user_days(events: DataFrame) -> DataFrame:
     return events.select("user_id", F.to_date("event_time").alias("date")).distinct()
 
 
-def _active_users(days: DataFrame, bucket, name: str, measure: str) -> DataFrame:
+ACTIVITY = ("active", "first_of_week", "first_of_month")
+
+
+def daily_activity(events: DataFrame) -> DataFrame:
+    """(date, active, first_of_week, first_of_month): all distinct-user counts in one pass.
+
+    A user's days are put in order once; the first of a week and of a month
+    count for it.  So sums over the days of a week or month are its distinct
+    users, and every grain comes from one small row a day.  A hot user has at
+    most one row a day, a day is combined on the map side.  Passes its own
+    output through.
+    """
+    if set(events.columns) == {"date", *ACTIVITY}:
+        return events
+    days = user_days(events).where(F.col("date").isNotNull())
+    before = F.lag("date").over(Window.partitionBy("user_id").orderBy("date"))
+
+    def first(bucket) -> Column:
+        return F.col("before").isNull() | (bucket(F.col("before")) != bucket(F.col("date")))
+
+    known = F.col("user_id").isNotNull()
     return (
-        days.where(F.col("date").isNotNull())
-        .select("user_id", bucket.alias(name))
-        .distinct()
-        .groupBy(name)
-        .agg(F.count("user_id").alias(measure))
+        days.withColumn("before", before)
+        .groupBy("date")
+        .agg(
+            F.count("user_id").alias("active"),
+            F.count_if(known & first(week_ending_monday)).alias("first_of_week"),
+            F.count_if(known & first(month_start)).alias("first_of_month"),
+        )
     )
 
 
 def dau(events: DataFrame) -> DataFrame:
     """Distinct users per day, zero on silent days inside the range."""
-    counts = _active_users(user_days(events), F.col("date"), "date", "dau")
+    counts = daily_activity(events).select("date", F.col("active").alias("dau"))
     return fill_gaps(counts, "date", "day", "dau")
 
 
+def _active_users(events: DataFrame, bucket, name: str, measure: str) -> DataFrame:
+    days = daily_activity(events)
+    return days.groupBy(bucket(F.col("date")).alias(name)).agg(F.sum(f"first_of_{name}").alias(measure))
+
+
 def wau(events: DataFrame) -> DataFrame:
     """Distinct users per Tuesday..Monday week, labelled by the closing Monday."""
-    counts = _active_users(user_days(events), week_ending_monday(F.col("date")), "week", "wau")
-    return fill_gaps(counts, "week", "week", "wau")
+    return fill_gaps(_active_users(events, week_ending_monday, "week", "wau"), "week", "week", "wau")
 
 
 def mau(events: DataFrame) -> DataFrame:
     """Distinct users per calendar month."""
-    counts = _active_users(user_days(events), month_start(F.col("date")), "month", "mau")
-    return fill_gaps(counts, "month", "month", "mau")
+    return fill_gaps(_active_users(events, month_start, "month", "mau"), "month", "month", "mau")
 
 
 def monthly_revenue(transactions: DataFrame) -> DataFrame:
@@ -106,7 +133,7 @@ def monthly_kpis(events: DataFrame, transactions: DataFrame) -> DataFrame:
 
 def daily_kpis(events: DataFrame) -> DataFrame:
     """DAU and its share of the month's users (stickiness)."""
-    days = user_days(events)
+    days = daily_activity(events)
     daily = dau(days).withColumn("month", month_start(F.col("date")))
     return daily.join(mau(days), "month", "left").select(
         "date",
@@ -160,8 +187,8 @@ class Kpis:
 
 
 def calculate_kpis(users: DataFrame, events: DataFrame, transactions: DataFrame) -> Kpis:
-    """The four KPI tables; daily, weekly and monthly share one user-day rollup."""
-    days = user_days(events)
+    """The four KPI tables; daily, weekly and monthly start from one stored row a day."""
+    days = materialize(daily_activity(events), "daily-activity")
     return Kpis(
         daily=daily_kpis(days),
         weekly=wau(days),

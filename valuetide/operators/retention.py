@@ -1,7 +1,9 @@
 """Exact-day retention, right-censored signup cohorts and retention by dimension.
 
 Events are reduced to one row per user and day before they meet the users, so
-a hot user contributes at most one row per calendar day to the join.
+a hot user contributes at most one row per calendar day to the join.  They meet
+once: ``user_months`` keeps a row per user and active month, with a bit for
+each retention day that was hit, and every table is counted from these rows.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_index, month_start
 from ..functions.numbers import ratio
+from ..sources.sinks import materialize
 from .kpi import user_days
 
 # The retention days of the summary and of the dimension cuts.
@@ -23,16 +26,52 @@ def _observation_end(days: DataFrame):
     return days.agg(F.max("date")).scalar()
 
 
-def _with_signup(users: DataFrame, days: DataFrame, *columns: str) -> DataFrame:
-    who = users.select("user_id", F.to_date("signup_date").alias("signup_date"), *columns)
-    return (
-        days.join(who, "user_id")
-        .where(F.col("date").isNotNull() & F.col("signup_date").isNotNull())
-        .withColumn("day", F.datediff("date", "signup_date"))
+MONTHS = {"user_id", "signup_date", "cohort", "period", "hits", "once"}
+
+
+def user_months(users: DataFrame, events: DataFrame, *dimensions: str) -> DataFrame:
+    """One row per user row and active month: cohort, months since signup, hits.
+
+    Bit k of ``hits`` tells activity exactly ``RETENTION_DAYS[k]`` days after
+    signup; of rows that repeat a user, cohort and month one has ``once`` set.
+    Passes its own output through.
+    """
+    if MONTHS <= set(events.columns):
+        return events
+    signup = F.to_date("signup_date")
+    who = users.select("user_id", signup.alias("signup_date"), *dimensions).where("signup_date IS NOT NULL")
+    day = F.datediff("date", "signup_date")
+    bits = [F.when(day == d, 1 << k).otherwise(0) for k, d in enumerate(RETENTION_DAYS)]
+    months = (
+        user_days(events)
+        .where(F.col("date").isNotNull())
+        .join(who, "user_id")
+        .select(
+            "user_id",
+            "signup_date",
+            *dimensions,
+            (month_index(F.col("date")) - month_index(F.col("signup_date"))).alias("period"),
+            sum(bits[1:], bits[0]).alias("hit"),
+        )
+        .groupBy("user_id", "signup_date", *dimensions, "period")
+        .agg(F.bit_or("hit").alias("hits"))
+        .withColumn("cohort", month_start(F.col("signup_date")))
     )
+    same = Window.partitionBy("user_id", "cohort", "period").orderBy("signup_date", *dimensions)
+    return months.withColumn("once", F.row_number().over(same) == 1)
 
 
-def day_n_retention(users: DataFrame, events: DataFrame) -> DataFrame:
+def _hit_users() -> list:
+    """Distinct users with a hit, one count a retention day; for rows with hits."""
+    return [
+        F.countDistinct(F.when(F.col("hits").bitwiseAND(1 << k) != 0, F.col("user_id"))).alias(f"r{d}")
+        for k, d in enumerate(RETENTION_DAYS)
+    ]
+
+
+def day_n_retention(
+    users: DataFrame, events: DataFrame, months: DataFrame | None = None
+) -> DataFrame:
     """One row: share of matured users active exactly 1, 7 and 30 days after signup.
 
     A user is matured for day d once the data covers signup + d; with nobody
@@ -47,14 +86,9 @@ def day_n_retention(users: DataFrame, events: DataFrame) -> DataFrame:
             for d in RETENTION_DAYS
         ]
     )
-    hits = _with_signup(users, days).where(F.col("day").isin(*RETENTION_DAYS))
+    hits = (months if months is not None else user_months(users, days)).where("hits <> 0")
     # An activity on day d proves signup + d <= last event date: all hits are matured.
-    retained = hits.agg(
-        *[
-            F.countDistinct(F.when(F.col("day") == d, F.col("user_id"))).alias(f"r{d}")
-            for d in RETENTION_DAYS
-        ]
-    )
+    retained = hits.agg(*_hit_users())
     one_row = matured.withColumn("k", F.lit(1)).join(retained.withColumn("k", F.lit(1)), "k")
     return one_row.select(
         *[
@@ -73,19 +107,9 @@ def cohort_size(users: DataFrame) -> DataFrame:
     )
 
 
-def _cohort_activity(users: DataFrame, days: DataFrame) -> DataFrame:
+def _cohort_activity(months: DataFrame) -> DataFrame:
     """Distinct active users per (cohort, months since signup), observed cells only."""
-    monthly = days.select("user_id", month_start(F.col("date")).alias("month")).distinct()
-    who = users.select("user_id", month_start(F.col("signup_date")).alias("cohort"))
-    return (
-        monthly.where(F.col("month").isNotNull())
-        .join(who.where(F.col("cohort").isNotNull()), "user_id")
-        .groupBy(
-            "cohort",
-            (month_index(F.col("month")) - month_index(F.col("cohort"))).alias("period"),
-        )
-        .agg(F.countDistinct("user_id").alias("active_users"))
-    )
+    return months.where("once").groupBy("cohort", "period").agg(F.count("user_id").alias("active_users"))
 
 
 def _dense(cohorts: DataFrame) -> DataFrame:
@@ -112,22 +136,23 @@ def _per_cohort(observed: DataFrame) -> DataFrame:
 
 def cohort_counts(users: DataFrame, events: DataFrame) -> DataFrame:
     """Active users per cohort with any activity, for every period 0..max."""
-    cohorts = _per_cohort(_cohort_activity(users, user_days(events)))
+    cohorts = _per_cohort(_cohort_activity(user_months(users, events)))
     return _dense(cohorts).select(
         "cohort", "period", F.coalesce("active_users", F.lit(0)).alias("active_users")
     )
 
 
-def cohort_retention(users: DataFrame, events: DataFrame) -> DataFrame:
+def cohort_retention(
+    users: DataFrame, events: DataFrame, months: DataFrame | None = None
+) -> DataFrame:
     """Share of each cohort active per period since signup.
 
     Periods the data cannot cover yet are NULL, covered periods without
     activity are 0, and a cohort that was never active is NULL throughout.
     """
     days = user_days(events)
-    cohorts = cohort_size(users).join(
-        _per_cohort(_cohort_activity(users, days)), "cohort", "left"
-    )
+    active = _cohort_activity(months if months is not None else user_months(users, days))
+    cohorts = cohort_size(users).join(_per_cohort(active), "cohort", "left")
     dense = _dense(cohorts).withColumn("end", _observation_end(days))
     covered = F.col("period") <= month_index(F.col("end")) - month_index(F.col("cohort"))
     silent_is_zero = F.when(
@@ -141,22 +166,35 @@ def cohort_retention(users: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
+def matrix_header(retention: DataFrame) -> list[int]:
+    """The periods of a wide export: 0 to the longest one, a single number read from the data."""
+    return list(range((retention.agg(F.max("period")).first()[0] or 0) + 1))
+
+
+def cohort_vectors(retention: DataFrame) -> DataFrame:
+    """(cohort, rates): all periods of a cohort in order, NULL where censored.
+
+    A cohort has at most one cell a month of history.
+    """
+    cells = F.array_sort(F.collect_list(F.struct("period", "retention")))
+    return retention.groupBy("cohort").agg(F.transform(cells, lambda c: c["retention"]).alias("rates"))
+
+
 def cohort_matrix(retention: DataFrame, periods: int | None = None) -> DataFrame:
     """Wide export of :func:`cohort_retention`: one column per period.
 
-    Without ``periods`` the width is read from the data (a single number).
+    The header is declared first, from ``periods`` or from the data; each row
+    is then spread over it, so there is no limit to its width.
     """
-    if periods is None:
-        periods = (retention.agg(F.max("period")).first()[0] or 0) + 1
-    return (
-        retention.where(F.col("period") < periods)
-        .groupBy("cohort")
-        .pivot("period", list(range(periods)))
-        .agg(F.first("retention"))
+    header = list(range(periods)) if periods is not None else matrix_header(retention)
+    return cohort_vectors(retention).select(
+        "cohort", *[F.get("rates", F.lit(k)).alias(str(k)) for k in header]
     )
 
 
-def retention_by(users: DataFrame, events: DataFrame, dimension: str) -> DataFrame:
+def retention_by(
+    users: DataFrame, events: DataFrame, dimension: str, months: DataFrame | None = None
+) -> DataFrame:
     """Day-1/7/30 retention per value of a user column.
 
     The divisor is every user of the value, matured or not.  A value with no
@@ -167,17 +205,15 @@ def retention_by(users: DataFrame, events: DataFrame, dimension: str) -> DataFra
         .groupBy(dimension)
         .agg(F.countDistinct("user_id").alias("size"))
     )
+    months = months if months is not None else user_months(users, events, dimension)
     hits = (
-        _with_signup(users, user_days(events), dimension)
-        .where(F.col("day").isin(*RETENTION_DAYS) & F.col(dimension).isNotNull())
+        months.where((F.col("hits") != 0) & F.col(dimension).isNotNull())
         .groupBy(dimension)
-        .pivot("day", list(RETENTION_DAYS))
-        .agg(F.countDistinct("user_id"))
-        .na.fill(0)
+        .agg(*_hit_users())
     )
     return sizes.join(hits, dimension, "left").select(
         dimension,
-        *[ratio(F.col(f"`{d}`"), F.col("size")).alias(f"day_{d}") for d in RETENTION_DAYS],
+        *[ratio(F.col(f"r{d}"), F.col("size")).alias(f"day_{d}") for d in RETENTION_DAYS],
     )
 
 
@@ -190,10 +226,12 @@ class Retention:
 
 
 def calculate_retention(users: DataFrame, events: DataFrame) -> Retention:
+    """The four tables; user-days meet the users once, in a stored table of user-months."""
     days = user_days(events)
+    months = materialize(user_months(users, days, "channel", "device"), "user-months")
     return Retention(
-        summary=day_n_retention(users, days),
-        cohorts=cohort_retention(users, days),
-        by_channel=retention_by(users, days, "channel"),
-        by_device=retention_by(users, days, "device"),
+        summary=day_n_retention(users, days, months),
+        cohorts=cohort_retention(users, days, months),
+        by_channel=retention_by(users, days, "channel", months),
+        by_device=retention_by(users, days, "device", months),
     )

@@ -754,7 +754,12 @@ def _commerce() -> dict[str, str]:
     f = _with
     return {
         "cohort_matrix": f(
-            COMMERCE, COHORTS, body="PIVOT c_rates ON period USING max(retention) GROUP BY cohort"
+            COMMERCE,
+            COHORTS,
+            body="""
+SELECT cohort, CAST((SELECT max(period) + 1 FROM c_rates) AS INTEGER) AS periods,
+       string_agg(coalesce(CAST(CAST(retention AS DECIMAL(12,9)) AS VARCHAR), ''), ',' ORDER BY period) AS rates
+FROM c_rates GROUP BY cohort""",
         ),
         **{
             f"model_{target}_design": f(

@@ -187,9 +187,12 @@ def _named(w: World) -> dict[str, DataFrame]:
 
 
 def cohort_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """The wide table's cells in one column: nine decimals each, parted by commas, empty if NULL."""
     w = world("commerce", spark, folder)
-    rates = retention.cohort_retention(w.users, w.events)
-    return retention.cohort_matrix(rates)
+    wide = retention.cohort_matrix(retention.cohort_retention(w.users, w.events))
+    header = [c for c in wide.columns if c != "cohort"]
+    cells = [F.coalesce(F.col(f"`{c}`").cast("decimal(12,9)").cast("string"), F.lit("")) for c in header]
+    return wide.select("cohort", F.lit(len(header)).alias("periods"), F.concat_ws(",", *cells).alias("rates"))
 
 
 def cohort_heatmap(spark: SparkSession, folder: str) -> DataFrame:
