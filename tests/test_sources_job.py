@@ -2,6 +2,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import EVENTS, USERS, day, frame, ts
 from valuetide import session
@@ -163,12 +164,16 @@ def test_whole_job(spark, tmp_path):
     }
     for name in ("ltv_importance", "churn_importance", "ltv_validation"):
         assert readers.read_metrics(spark, out.paths[name]).count() > 0
-    assert {p.name for p in (tmp_path / "models").iterdir()} >= {
+    assert {p.name for p in (tmp_path / "models" / "v=1" / "models").iterdir()} >= {
         "ltv_linear_regression",
         "ltv_random_forest",
         "churn_logistic_regression",
         "churn_random_forest",
     }
+    rows = spark.read.parquet(out.paths["user_snapshots"])
+    newest = rows.where(F.col("snapshot_date") == rows.agg(F.max("snapshot_date")).first()[0])
+    fresh = job.score(newest.drop("churn_30d", "future_90d_revenue"), str(tmp_path))
+    assert sorted(map(tuple, fresh.collect())) == sorted(map(tuple, out.segments.select(fresh.columns).collect()))
 
 
 def test_reporting_edges(spark, sample):

@@ -7,7 +7,7 @@ from functools import partial, reduce
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import logit
@@ -85,19 +85,41 @@ class ChurnResult:
     predictions: DataFrame
     scores: DataFrame
     metrics: DataFrame
-    importance: DataFrame | None
+    importance: DataFrame
     design: DataFrame
     models: ChurnModels
     features: list[str]
 
     def calibration_table(self) -> DataFrame:
         """What the saved models lack: Platt map and threshold per model."""
-        rows = [
-            (m, c.slope, c.intercept, self.thresholds[m]) for m, c in self.calibrations.items()
-        ]
-        return self.predictions.sparkSession.createDataFrame(
-            rows, "model string, slope double, intercept double, threshold double"
-        )
+        return calibration_rows(self.predictions.sparkSession, self.calibrations, self.thresholds)
+
+
+def calibration_rows(
+    spark: SparkSession, calibrations: dict[str, Calibration], thresholds: dict[str, float]
+) -> DataFrame:
+    rows = [(m, c.slope, c.intercept, thresholds[m]) for m, c in calibrations.items()]
+    return spark.createDataFrame(
+        rows, "model string, slope double, intercept double, threshold double"
+    )
+
+
+def importance(frame: DataFrame, models: ChurnModels) -> DataFrame:
+    """(feature, importance) of the forest; no rows where one class needed none."""
+    if models.forest is None:
+        return frame.sparkSession.createDataFrame([], "feature string, importance double")
+    return importance_table(frame, models.featurizer.columns, models.forest)
+
+
+def metric_reports(scores: DataFrame, thresholds: dict[str, float]) -> DataFrame:
+    """Every metric of every model, at its own and at the fixed threshold."""
+    reports = [
+        evaluation.classifier_report(
+            scores, TARGET, m, {"selected": thresholds[m], "fixed_0_5": FIXED_THRESHOLD}
+        ).select(F.lit(m).alias("model"), "*")
+        for m in CANDIDATES
+    ]
+    return reduce(DataFrame.unionByName, reports)
 
 
 def class_weights(train: DataFrame, label: str) -> DataFrame:
@@ -211,7 +233,7 @@ def train_churn(
             ),
         )
     )
-    calibrated = keep_in_memory(_calibrate(raw_validation, calibrations, "user_id", TARGET))
+    calibrated = keep_in_memory(calibrate(raw_validation, calibrations, "user_id", TARGET))
     thresholds, precision = {}, {}
     for m in CANDIDATES:
         thresholds[m] = evaluation.best_threshold(calibrated, TARGET, m).first()["threshold"]
@@ -220,7 +242,7 @@ def train_churn(
     selected = max(CANDIDATES, key=precision.__getitem__)
 
     scores = materialize(
-        _calibrate(
+        calibrate(
             models.raw_scores(test, "user_id", "snapshot_date", TARGET),
             calibrations,
             "user_id",
@@ -229,12 +251,6 @@ def train_churn(
         ),
         "churn-scores",
     )
-    reports = [
-        evaluation.classifier_report(
-            scores, TARGET, m, {"selected": thresholds[m], "fixed_0_5": FIXED_THRESHOLD}
-        ).select(F.lit(m).alias("model"), "*")
-        for m in CANDIDATES
-    ]
     probability = F.col(selected)
     predictions = scores.select(
         "user_id",
@@ -243,26 +259,21 @@ def train_churn(
         probability.alias("churn_probability"),
         (probability >= thresholds[selected]).cast("int").alias("churn_prediction"),
     )
-    importance = (
-        importance_table(snapshots, models.featurizer.columns, models.forest)
-        if models.forest is not None
-        else snapshots.sparkSession.createDataFrame([], "feature string, importance double")
-    )
     return ChurnResult(
         selected=selected,
         thresholds=thresholds,
         calibrations=calibrations,
         predictions=predictions,
         scores=scores,
-        metrics=reduce(DataFrame.unionByName, reports),
-        importance=importance,
+        metrics=metric_reports(scores, thresholds),
+        importance=importance(snapshots, models),
         design=temporal_design(snapshots, split, CHURN_HORIZON_DAYS, test_date),
         models=models,
         features=features,
     )
 
 
-def _calibrate(raw: DataFrame, calibrations: dict[str, Calibration], *keep: str) -> DataFrame:
+def calibrate(raw: DataFrame, calibrations: dict[str, Calibration], *keep: str) -> DataFrame:
     return raw.select(
         *keep, *[c.apply(F.col(f"{m}_raw")).alias(m) for m, c in calibrations.items()]
     )

@@ -16,6 +16,7 @@ from ..operators.modeling import TreeSettings
 from ..operators.snapshots import DEFAULT_SNAPSHOTS, build_snapshots
 from ..operators.splits import assign_temporal_splits
 from ..sources import readers, sinks
+from . import modelstore
 
 
 @dataclass(frozen=True)
@@ -50,6 +51,15 @@ def stored_segments(spark: SparkSession, output: str) -> DataFrame:
     )
 
 
+def score(rows: DataFrame, output: str, version: int | None = None) -> DataFrame:
+    """Segments of new snapshot rows by the models that a run has published below ``output``.
+
+    Nothing is fitted and no labels are needed; rows whose features differ from
+    those of training are an error.
+    """
+    return modelstore.load(rows.sparkSession, f"{output}/models", version).segments(rows)
+
+
 def run(
     users: DataFrame,
     events: DataFrame,
@@ -110,7 +120,7 @@ def run(
     risk = churn.train_churn(rows, seed, trees)
     ltv_rows = store("ltv_predictions", value.predictions)
     churn_rows = store("churn_predictions", risk.predictions)
-    sinks.save_models({**value.models.pipelines(), **risk.models.pipelines()}, f"{output}/models")
+    modelstore.publish(f"{output}/models", rows, value, risk)
     store("churn_calibration", risk.calibration_table())
     metrics("ltv_metrics", value.metrics)
     metrics("churn_metrics", risk.metrics)

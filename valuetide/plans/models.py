@@ -2,24 +2,30 @@
 
 Fitted forests and logistic models have no SQL twin; rows and invariants are
 checked instead.  What is fixed arithmetic around them has one: designs,
-scaling, least squares on one feature, the hurdle product, the Platt map.
+scaling, least squares, the hurdle product, the Platt map.
+
+Trained models are an explicit, stored input: ``trained`` looks for a version
+in the model store below the shared folder that was fitted on exactly these
+files, and trains and publishes one where there is none.  Every query then
+scores the snapshots itself, from the stored models.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+import hashlib
 
+from pyspark.ml.feature import StandardScaler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.ml.feature import StandardScaler
-
 from ..functions.numbers import non_negative_expm1
 from ..operators import churn, evaluation, ltv, reporting, segments
-from ..operators.modeling import VECTOR, Featurizer
+from ..operators.modeling import VECTOR, Featurizer, importance_table
 from ..operators.snapshots import CHURN_HORIZON_DAYS, LTV_HORIZON_DAYS
 from ..operators.splits import TEST, TRAIN, require_single_test_snapshot
+from ..session import delete_at_exit, shared_dir
 from ..sources.sinks import materialize
+from . import modelstore
 
 
 def _snapshots(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,55 +35,108 @@ def _snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return materialize(split_snapshots(spark, folder), "snapshots")
 
 
-def table_state(spark: SparkSession, folder: str) -> tuple:
-    """Path, length and time of every file behind the role tables."""
+def table_state(spark: SparkSession, folder: str) -> str:
+    """Digest of path, length and time of every file behind the role tables."""
     found = []
     for name in ("customer", "nation", "region", "orders", "lineitem"):
         for file in spark.read.parquet(f"{folder}/{name}.parquet").inputFiles():
             path = spark._jvm.org.apache.hadoop.fs.Path(file)
             status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
             found.append((file, status.getLen(), status.getModificationTime()))
-    return tuple(sorted(found))
+    return hashlib.sha256(repr(sorted(found)).encode()).hexdigest()[:16]
 
 
-@lru_cache(maxsize=2)
-def _trained(kind: str, spark: SparkSession, folder: str, state: tuple):
-    """A bake-off of full forests takes minutes; it holds while no file changes."""
-    train = {"ltv": ltv.train_ltv, "churn": churn.train_churn}[kind]
-    return train(_snapshots(spark, folder))
+def store_folder(spark: SparkSession, folder: str) -> str:
+    return f"{shared_dir(spark)}/models-{table_state(spark, folder)}"
 
 
-def _ltv(spark, folder) -> ltv.LtvResult:
-    return _trained("ltv", spark, folder, table_state(spark, folder))
+def train_and_publish(rows: DataFrame, store: str) -> int:
+    return modelstore.publish(store, rows, ltv.train_ltv(rows), churn.train_churn(rows))
 
 
-def _churn(spark, folder) -> churn.ChurnResult:
-    return _trained("churn", spark, folder, table_state(spark, folder))
+def trained(spark: SparkSession, folder: str, rows: DataFrame) -> modelstore.Stored:
+    """The latest version fitted on these files; fits and publishes the first."""
+    store = store_folder(spark, folder)
+    if not modelstore.versions(spark, store):
+        train_and_publish(rows, store)
+        delete_at_exit(spark, store)
+    return modelstore.load(spark, store)
 
 
-def _segmented(value: ltv.LtvResult, risk: churn.ChurnResult) -> DataFrame:
-    return segments.segment_customers(
-        value.predictions,
-        risk.predictions,
-        value_threshold=value.value_threshold,
-        risk_threshold=risk.thresholds[risk.selected],
-    )
+def _test_rows(rows: DataFrame, target: str) -> DataFrame:
+    return rows.where(F.col(f"{target}_split") == TEST)
+
+
+def _scoring(query):
+    """A query on the stored models and the snapshots of the folder."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        rows = _snapshots(spark, folder)
+        return query(trained(spark, folder, rows), rows)
+
+    return run
+
+
+KEEP = ("user_id", "snapshot_date")
+
+
+def ltv_predictions(models: modelstore.Stored, rows: DataFrame) -> DataFrame:
+    return models.ltv_predictions(_test_rows(rows, "ltv"), *KEEP, ltv.TARGET)
+
 
+def churn_predictions(models: modelstore.Stored, rows: DataFrame) -> DataFrame:
+    return models.churn_predictions(_test_rows(rows, "churn"), *KEEP, churn.TARGET)
 
-def model_segments(spark: SparkSession, folder: str) -> DataFrame:
-    return _segmented(_ltv(spark, folder), _churn(spark, folder))
+
+def churn_scores(models: modelstore.Stored, rows: DataFrame) -> DataFrame:
+    scores = models.churn_scores(_test_rows(rows, "churn"), *KEEP, churn.TARGET)
+    return materialize(scores, "churn-scores")
+
+
+def ltv_metrics(models: modelstore.Stored, rows: DataFrame) -> DataFrame:
+    return modelstore.ltv_metrics(materialize(ltv_predictions(models, rows), "ltv-predictions"))
+
+
+def churn_metrics(models: modelstore.Stored, rows: DataFrame) -> DataFrame:
+    return churn.metric_reports(churn_scores(models, rows), models.record["churn"]["thresholds"])
+
+
+def churn_thresholds(models: modelstore.Stored, rows: DataFrame) -> DataFrame:
+    return churn.calibration_rows(rows.sparkSession, models.calibrations, models.record["churn"]["thresholds"])
+
+
+def ltv_importance(models: modelstore.Stored, rows: DataFrame) -> DataFrame:
+    return reporting.top_features(importance_table(rows, models.value.featurizer.columns, models.value.forest))
+
+
+def churn_importance(models: modelstore.Stored, rows: DataFrame) -> DataFrame:
+    return reporting.top_features(churn.importance(rows, models.risk))
+
+
+def churn_calibration(models: modelstore.Stored, rows: DataFrame) -> DataFrame:
+    return evaluation.calibration_curve(churn_scores(models, rows), churn.TARGET, models.record["churn"]["selected"])
+
+
+def model_segments(models: modelstore.Stored, rows: DataFrame) -> DataFrame:
+    return segments.segment_customers(
+        ltv_predictions(models, rows),
+        churn_predictions(models, rows),
+        value_threshold=models.record["ltv"]["threshold"],
+        risk_threshold=models.churn_threshold,
+    )
 
 
-def model_customer_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    value, risk = _ltv(spark, folder), _churn(spark, folder)
+def customer_predictions(models: modelstore.Stored, rows: DataFrame) -> DataFrame:
     return segments.customer_predictions(
-        value.predictions, risk.predictions, _segmented(value, risk)
+        ltv_predictions(models, rows), churn_predictions(models, rows), model_segments(models, rows)
     )
 
 
-def model_churn_calibration(spark: SparkSession, folder: str) -> DataFrame:
-    found = _churn(spark, folder)
-    return evaluation.calibration_curve(found.scores, churn.TARGET, found.selected)
+def stored_scores(models: modelstore.Stored, rows: DataFrame) -> DataFrame:
+    """Segments of the newest snapshot without its labels, as a later session scores it."""
+    newest = rows.agg(F.max("snapshot_date")).first()[0]
+    fresh = rows.where(F.col("snapshot_date") == newest).select(*KEEP, *models.features)
+    return models.segments(fresh)
 
 
 # Inputs of the checked arithmetic.
@@ -129,22 +188,23 @@ def model_hurdle_product(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "model_ltv_predictions": lambda s, d: _ltv(s, d).predictions,
-    "model_ltv_metrics": lambda s, d: _ltv(s, d).metrics,
-    "model_ltv_validation": lambda s, d: _ltv(s, d).validation_metrics,
-    "model_ltv_importance": lambda s, d: reporting.top_features(_ltv(s, d).importance),
+    "model_ltv_predictions": _scoring(ltv_predictions),
+    "model_ltv_metrics": _scoring(ltv_metrics),
+    "model_ltv_validation": _scoring(lambda m, rows: m.table(rows.sparkSession, "ltv_validation")),
+    "model_ltv_importance": _scoring(ltv_importance),
     "model_ltv_design": _design("ltv", LTV_HORIZON_DAYS),
-    "model_churn_predictions": lambda s, d: _churn(s, d).predictions,
-    "model_churn_metrics": lambda s, d: _churn(s, d).metrics,
-    "model_churn_importance": lambda s, d: reporting.top_features(_churn(s, d).importance),
-    "model_churn_thresholds": lambda s, d: _churn(s, d).calibration_table(),
-    "model_churn_calibration": model_churn_calibration,
+    "model_churn_predictions": _scoring(churn_predictions),
+    "model_churn_metrics": _scoring(churn_metrics),
+    "model_churn_importance": _scoring(churn_importance),
+    "model_churn_thresholds": _scoring(churn_thresholds),
+    "model_churn_calibration": _scoring(churn_calibration),
     "model_churn_design": _design("churn", CHURN_HORIZON_DAYS),
     "model_ols_log1p": model_ols_log1p,
     "model_scale_moments": model_scale_moments,
     "model_platt_map": model_platt_map,
     "model_hurdle_product": model_hurdle_product,
-    "model_segments": model_segments,
-    "model_segment_counts": lambda s, d: segments.segment_counts(model_segments(s, d)),
-    "model_customer_predictions": model_customer_predictions,
+    "model_segments": _scoring(model_segments),
+    "model_segment_counts": _scoring(lambda m, rows: segments.segment_counts(model_segments(m, rows))),
+    "model_customer_predictions": _scoring(customer_predictions),
+    "model_stored_scores": _scoring(stored_scores),
 }
