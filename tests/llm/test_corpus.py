@@ -415,6 +415,15 @@ def test_duplicate_substrings(docs, group):
     assert rows(suffixdedup.removed_bytes(docs, group)) == sorted(plain_removed(docs), key=repr)
 
 
+@both()
+def test_passages_without_broadcast(docs):
+    from valuetide.llm import passages
+
+    numbered = docs.select(F.xxhash64(F.col("doc_id").isNull(), "doc_id", row_key()).alias("row"), "text")
+    one = rows(passages.shared_passages(numbered))
+    assert one and one == rows(passages.shared_passages(numbered, most_anchors=0))
+
+
 def test_suffix_order_is_that_of_plain_sorting():
     rng = np.random.default_rng(3)
     for letters in (2, 4):

@@ -3,10 +3,12 @@
 Words are runs of bytes between ASCII white space.  Every string of ``WORDS``
 words is put under an anchor, the smallest hash of the ``GRAM``-word pieces
 inside it, so equal strings have equal anchors.  Consecutive starts of one
-anchor form a run; runs are counted by content, combined before the shuffle.
-A run that two documents have is shared as a whole.  Under anchors with
-different runs the hashes of their strings, at most as many as an anchor has
-places, are counted across documents.
+anchor form a run.  Anchors of one document are done with.  Where documents
+have an anchor with one and the same run, the run is shared as a whole; where
+their runs differ, the hashes of the runs' strings, at most as many as an
+anchor has places, are counted across documents.  Up to ``MOST_ANCHORS`` such
+anchors are broadcast and texts are read again where they lie; beyond that the
+runs are sent to their texts.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from .common import store
 WORDS = 51
 GRAM = 8
 SLICE_BYTES = 4 << 20
+MOST_ANCHORS = 2_000_000
 ODD = 0x9E3779B97F4A7C15
 
 
@@ -90,6 +93,7 @@ def text_runs(texts: list[bytes | None]) -> Iterator[tuple[int, int, int, int, i
 
 
 RUN = "row long, first int, starts int, anchor long, content long"
+STRING = "h long, row long, place int"
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,22 +109,56 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the strings of the wanted runs of each text."""
-    for batch in batches:
-        texts = batch.column(0).cast(pa.string()).cast(pa.binary()).to_pylist()
-        for text, wanted in zip(texts, batch.column(1).to_pylist()):
-            hashes = rolled(word_codes([text])[0], WORDS).view(np.int64)
-            parts = [hashes[w["first"] : w["first"] + w["starts"]] for w in wanted]
-            n = [len(p) for p in parts]
-            spread = lambda name: np.repeat([w[name] for w in wanted], n)  # noqa: E731, B023
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(parts)), *(pa.array(spread(c)) for c in ("anchor", "content", "low", "high"))],
-                ["h", "anchor", "content", "low", "high"],
-            )
+def _string_batch(hashes: list, rows: list, places: list) -> pa.RecordBatch:
+    joined = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
+    columns = [joined(hashes, np.int64), joined(rows, np.int64), joined(places, np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "row", "place"])
+
 
+def _run_strings(rows, texts, wanted) -> pa.RecordBatch:
+    """The strings of the wanted runs (first, starts) of each text."""
+    hashes, owners, places = [], [], []
+    for row, text, runs in zip(rows, texts, wanted):
+        if runs:
+            own = rolled(word_codes([text])[0], WORDS).view(np.int64)
+            at = np.concatenate([np.arange(first, first + starts, dtype=np.int32) for first, starts in runs])
+            hashes.append(own[at])
+            owners.append(np.full(len(at), row, np.int64))
+            places.append(at)
+    return _string_batch(hashes, owners, places)
 
-def shared_passages(docs: DataFrame) -> DataFrame:
+
+def _joined_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column(1).cast(pa.string()).cast(pa.binary()).to_pylist()
+        wanted = [[(w["first"], w["starts"]) for w in own] for own in batch.column(2).to_pylist()]
+        yield _run_strings(batch.column(0).to_pylist(), texts, wanted)
+
+
+def _found_strings(docs: DataFrame, anchors: DataFrame) -> DataFrame:
+    """STRING of all runs under the anchors, which are broadcast, from the texts where they lie."""
+    packed = np.sort(np.array([r.anchor for r in anchors.collect()], np.int64))
+    shared = docs.sparkSession.sparkContext.broadcast(packed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            rows = batch.column(0).to_pylist()
+            texts = batch.column(1).cast(pa.string()).cast(pa.binary()).to_pylist()
+            for a, b in slices(texts):
+                wanted: list[list] = [[] for _ in range(a, b)]
+                found = list(text_runs(texts[a:b]))
+                codes = np.array([x[3] for x in found], np.int64)
+                at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+                for k in np.flatnonzero(known[at] == codes):
+                    number, first, starts, *_ = found[k]
+                    wanted[number].append((first, starts))
+                yield _run_strings(rows[a:b], texts[a:b], wanted)
+
+    return docs.select("row", "text").mapInArrow(run, STRING)
+
+
+def shared_passages(docs: DataFrame, most_anchors: int = MOST_ANCHORS) -> DataFrame:
     """(row, n_passages): strings of ``WORDS`` words of the row that another row has.
 
     ``docs`` has row, a number that tells rows apart, and text; rows of one
@@ -128,27 +166,33 @@ def shared_passages(docs: DataFrame) -> DataFrame:
     """
     long_enough = docs.filter(F.octet_length("text") >= 2 * WORDS - 1)
     found = store(long_enough.select("row", "text").mapInArrow(_runs, RUN), "passages")
-    by_content = store(
-        found.groupBy("anchor", "content", "starts").agg(
-            F.min("row").alias("low"), F.max("row").alias("high"), F.min(F.struct("row", "first")).alias("one")
-        ),
-        "passage-runs",
-    )
-    kinds = by_content.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("anchor")
-    run = F.struct("anchor", "content", "starts", "low", "high", F.col("one.first").alias("first"))
-    wanted = (
-        by_content.join(kinds, "anchor")
-        .groupBy(F.col("one.row").alias("__row"))
-        .agg(F.collect_list(run).alias("wanted"))
+    anchors = (
+        found.groupBy("anchor")
+        .agg(
+            (F.min("row") < F.max("row")).alias("shared"),
+            ((F.min("content") < F.max("content")) | (F.min("starts") < F.max("starts"))).alias("differ"),
+        )
+        .filter("shared")
+        .drop("shared")
     )
-    strings = store(
-        long_enough.join(wanted, F.col("row") == F.col("__row"))
-        .select("text", "wanted")
-        .mapInArrow(_strings, "h long, anchor long, content long, low long, high long"),
-        "passage-strings",
+    anchors = store(anchors, "passage-anchors")
+    differ = anchors.filter("differ").select("anchor")
+    n = differ.count()
+    if 0 < n <= most_anchors:
+        strings = _found_strings(long_enough, differ)
+    else:
+        runs = found.join(differ, "anchor").groupBy(F.col("row").alias("__row"))
+        wanted = runs.agg(F.collect_set(F.struct("first", "starts")).alias("wanted"))
+        joined = long_enough.join(wanted, F.col("row") == F.col("__row"))
+        strings = joined.select("row", "text", "wanted").mapInArrow(_joined_strings, STRING)
+    strings = store(strings, "passage-strings")
+    often = strings.groupBy("h").agg((F.min("row") < F.max("row")).alias("often")).filter("often").select("h")
+    partly = strings.join(often, "h").select("row", "place").distinct().groupBy("row").agg(F.count(F.lit(1)).alias("n"))
+    whole = (
+        found.join(anchors.filter("NOT differ").select("anchor"), "anchor")
+        .select("row", "first", "starts")
+        .distinct()
+        .groupBy("row")
+        .agg(F.sum("starts").alias("n"))
     )
-    often = strings.groupBy("h").agg(F.min("low").alias("a"), F.max("high").alias("b")).filter("a < b").select("h")
-    partly = strings.filter("low = high").join(often, "h").groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"))
-    whole = by_content.filter("low < high").select("anchor", "content", F.col("starts").cast("long").alias("n"))
-    each = found.join(whole.unionByName(partly), ["anchor", "content"]).groupBy("row", "first").agg(F.max("n").alias("n"))
-    return each.groupBy("row").agg(F.sum("n").alias("n_passages"))
+    return whole.unionByName(partly).groupBy("row").agg(F.sum("n").alias("n_passages"))
