@@ -1,7 +1,8 @@
 """Data-quality rules, declared constraints and table profiles.
 
-Events and transactions are reduced to one row per user and day before they
-meet the users table; each fact table is scanned once for all of its rules.
+Each fact table is scanned once for all of its rules.  A users table that fits
+a broadcast comes to the facts, which are then not shuffled at all; beyond that
+they are reduced to one row per user and day before they meet it.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import fits_broadcast
 from ..sources import schemas
 
 # What each rule says when rows break it.
@@ -35,24 +37,28 @@ def _check_facts(users, facts, time, bad: dict) -> DataFrame:
     """One row: unknown users, rows before signup, and the row-level rules.
 
     A row's time precedes midnight of the signup day exactly when its date
-    does, so the comparison works on day groups.
+    does, so the comparison works on days.
     """
-    daily = (
-        facts.select("user_id", F.to_date(time).alias("date"), *[c.alias(k) for k, c in bad.items()])
-        .groupBy("user_id", "date")
-        .agg(F.count("*").alias("n"), *[F.count_if(k).alias(k) for k in bad])
-    )
+    rows = facts.select("user_id", F.to_date(time).alias("date"), *[c.alias(k) for k, c in bad.items()])
     known = _signups(users).withColumn("known", F.lit(True))
-    joined = daily.join(known, "user_id", "left")
+    if fits_broadcast(users):
+        each = rows.join(F.broadcast(known), "user_id", "left").select(
+            "*", F.lit(1).alias("n"), *[F.col(k).cast("int").alias(f"n_{k}") for k in bad]
+        )
+    else:
+        daily = rows.groupBy("user_id", "date").agg(
+            F.count("*").alias("n"), *[F.count_if(k).alias(f"n_{k}") for k in bad]
+        )
+        each = daily.join(known, "user_id", "left")
     stranger = F.col("known").isNull()
     early = F.col("date") < F.col("signup_date")
-    return joined.agg(
+    return each.agg(
         (
             F.countDistinct(F.when(stranger, F.col("user_id")))
             + F.coalesce(F.max((stranger & F.col("user_id").isNull()).cast("int")), F.lit(0))
         ).alias("orphans"),
         F.coalesce(F.sum(F.when(early, F.col("n"))), F.lit(0)).alias("before_signup"),
-        *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in bad],
+        *[F.coalesce(F.sum(f"n_{k}"), F.lit(0)).alias(k) for k in bad],
     )
 
 

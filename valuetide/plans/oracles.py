@@ -319,6 +319,21 @@ segments AS (
 )"""
 
 
+RANGES = "range, key_from, key_to, n AS expected_rows, n AS actual_rows"
+
+
+def _ranged(view: str, key: str) -> str:
+    """Rows of 16 equal ranges of a key, and whether a range has the first or last key."""
+    return f"""(
+  SELECT CAST(floor((k - lo) / w) AS INTEGER) AS range, lo + w * CAST(floor((k - lo) / w) AS BIGINT) AS key_from,
+         lo + w * CAST(floor((k - lo) / w) AS BIGINT) + w - 1 AS key_to, count(*) AS n,
+         bool_or(k = lo OR k = hi) AS holds_end
+  FROM (SELECT CAST({key} AS BIGINT) AS k FROM {view})
+  CROSS JOIN (SELECT CAST(min({key}) AS BIGINT) AS lo, CAST(max({key}) AS BIGINT) AS hi,
+                     CAST(ceil((max({key}) - min({key}) + 1) / 16.0) AS BIGINT) AS w FROM {view})
+  GROUP BY 1, 2, 3)"""
+
+
 def _with(*parts: str, body: str) -> str:
     return "WITH " + ",\n".join(p.strip() for p in parts) + "\n" + body.strip()
 
@@ -823,6 +838,26 @@ FROM split_rows CROSS JOIN sp_dates""",
             COMMERCE, MONTHLY, body="SELECT * FROM monthly ORDER BY month DESC LIMIT 5"
         ),
         "reconcile": f(*base, MONTHLY, body="\nUNION ALL\n".join(checks)),
+        "reconcile_digests": f(
+            *base,
+            body="\nUNION ALL\n".join(
+                f"SELECT '{t}' AS table_name, {RANGES}, true AS ok FROM {_ranged(view, key)}"
+                for t, view, key in (
+                    ("users", "w_users", "user_id"),
+                    ("events", "w_events", "event_id"),
+                    ("transactions", "w_transactions", "order_id"),
+                    ("user_snapshots", "snapshots", "user_id"),
+                )
+            ),
+        ),
+        "reconcile_swapped": f(
+            COMMERCE,
+            body=f"""
+SELECT {RANGES}, NOT (holds_end AND two) AS ok
+FROM {_ranged("w_transactions", "order_id")}
+CROSS JOIN (SELECT count(DISTINCT amount) = 2 AS two FROM w_transactions
+            WHERE order_id IN ((SELECT min(order_id) FROM w_transactions), (SELECT max(order_id) FROM w_transactions)))""",
+        ),
         "temporal_splits": f(*base, body="SELECT * FROM split_rows"),
         "split_audit": f(
             *base,

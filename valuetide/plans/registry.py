@@ -205,18 +205,48 @@ def kpi_last_months(spark: SparkSession, folder: str) -> DataFrame:
     return reporting.last_months(kpi.monthly_kpis(w.events, w.transactions))
 
 
-def reconcile_reloaded(spark: SparkSession, folder: str) -> DataFrame:
-    """Write every table, read it back, and compare with the source frames."""
+def _reloaded(spark: SparkSession, folder: str) -> tuple[World, dict, dict]:
+    """Source frames of all tables, and the same written and read back."""
     w = world("commerce", spark, folder)
     frames = {**_named(w), "user_snapshots": split_snapshots(spark, folder)}
     base = scratch_path(spark, "reconcile")
     delete_at_exit(spark, base)
     for name, frame in frames.items():
         sinks.write_parquet(frame, f"{base}/{name}")
-    loaded = {name: spark.read.parquet(f"{base}/{name}") for name in frames}
+    return w, frames, {name: spark.read.parquet(f"{base}/{name}") for name in frames}
+
+
+def reconcile_reloaded(spark: SparkSession, folder: str) -> DataFrame:
+    """Write every table, read it back, and compare with the source frames."""
+    w, frames, loaded = _reloaded(spark, folder)
     return reconcile.reconcile(frames, loaded, kpi.monthly_kpis(w.events, w.transactions))
 
 
+# Fixed value: the key whose ranges get a digest, by table.
+DIGEST_KEYS = {"users": "user_id", "events": "event_id", "transactions": "order_id", "user_snapshots": "user_id"}
+
+
+def reconcile_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the key ranges of every table, source against reloaded."""
+    _, frames, loaded = _reloaded(spark, folder)
+    return reconcile.reconcile_rows(frames, loaded, DIGEST_KEYS)
+
+
+def reconcile_swapped(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for transactions in which two orders have swapped their amounts.
+
+    Counts and sums stay; the ranges of the least and the greatest order differ.
+    """
+    rows = world("commerce", spark, folder).transactions
+    ends = rows.agg(F.min("order_id").alias("a"), F.max("order_id").alias("b")).first()
+    amounts = {r["order_id"]: r["amount"] for r in rows.where(F.col("order_id").isin(ends["a"], ends["b"])).collect()}
+    swapped = F.when(F.col("order_id") == ends["a"], F.lit(amounts[ends["b"]])).when(
+        F.col("order_id") == ends["b"], F.lit(amounts[ends["a"]])
+    )
+    changed = rows.withColumn("amount", F.coalesce(swapped, "amount").cast(rows.schema["amount"].dataType))
+    return reconcile.compare_digests(rows, changed, "order_id")
+
+
 def ltv_baselines(spark: SparkSession, folder: str) -> DataFrame:
     from ..operators import ltv
 
@@ -329,6 +359,8 @@ COMMERCE: dict[str, Query] = {
     "cohort_heatmap": cohort_heatmap,
     "kpi_last_months": kpi_last_months,
     "reconcile": reconcile_reloaded,
+    "reconcile_digests": reconcile_digests,
+    "reconcile_swapped": reconcile_swapped,
     "temporal_splits": split_snapshots,
     "split_audit": lambda s, d: splits.split_audit(split_snapshots(s, d)),
     "split_audit_leaky": split_audit_leaky,

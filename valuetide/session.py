@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only settings whose Spark default is wrong for wide, skewed inputs.  Shuffle
 # partition counts stay with the cluster: AQE coalesces a generous setting, so
@@ -57,3 +57,12 @@ def delete_at_exit(spark: SparkSession, path: str) -> None:
     """Have the file system drop ``path`` when the driver's JVM ends."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
+# Tables up to this size by the optimizer's estimate go to every executor.
+BROADCAST_BYTES = 32 << 20
+
+
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is small by its plan's estimate; an unknown size is a large one."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
