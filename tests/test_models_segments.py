@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tests.conftest import day, frame
-from valuetide.operators import churn, ltv, reporting, segments
+from valuetide.operators import churn, ltv, modeling, reporting, segments
 from valuetide.operators.modeling import TreeSettings
 from valuetide.plans import modelstore
 from valuetide.sources import sinks
@@ -137,7 +137,10 @@ def test_models_survive_saving(spark, value, table, tmp_path):
     sinks.save_models(value.models.pipelines(), str(tmp_path))
     again = PipelineModel.load(str(tmp_path / "ltv_random_forest"))
     row = table.where("user_id = 0")
-    saved = again.transform(row).select(F.expr("greatest(0, expm1(forest_log))")).first()[0]
+    forest = modeling.Forest(tuple(again.stages[2:]), "forest_log")
+    assert sum(forest.sizes) == 120 and len(forest.models) == modeling.MOST_PARTS
+    rows = forest.transform(PipelineModel(again.stages[:2]).transform(row))
+    saved = rows.select(F.expr("greatest(0, expm1(forest_log))")).first()[0]
     live = value.models.predict(row, "user_id").first()["random_forest_prediction"]
     assert saved == pytest.approx(live)
 
@@ -296,6 +299,23 @@ def test_unmatched_predictions_drop_out(spark, scores):
     assert found.count() == 3
 
 
+def test_parts_of_a_forest_follow_from_its_rows():
+    assert modeling.forest_parts(1000, 120) == [30] * 4
+    assert modeling.forest_parts(1000, 3) == [1, 1, 1]
+    assert modeling.forest_parts(150_000, 160) == [80, 80]
+    assert modeling.forest_parts(10**9, 160) == [160]
+
+
+def test_a_forest_of_parts_is_the_mean_of_its_trees(value, table):
+    rows = table.where("split = 'test'")
+    data = value.models.featurizer.transform(rows, "user_id")
+    found = {r["user_id"]: r["forest_log"] for r in value.models.forest.transform(data).collect()}
+    trees = [t for m in value.models.forest.models for t in m.trees]
+    for r in data.limit(5).collect():
+        own = np.mean([t.predict(r["features"]) for t in trees])
+        assert found[r["user_id"]] == pytest.approx(own)
+
+
 def test_forests_grow_until_leaves_are_small(spark):
     from pyspark.ml.feature import VectorAssembler
 

@@ -176,6 +176,47 @@ def test_whole_job(spark, tmp_path):
     assert sorted(map(tuple, fresh.collect())) == sorted(map(tuple, out.segments.select(fresh.columns).collect()))
 
 
+class Stopped(Exception):
+    pass
+
+
+def test_a_stopped_run_goes_on_behind_its_finished_stages(spark, sample, tmp_path, monkeypatch):
+    users, events, orders = sample
+    dates = [day("2024-01-15"), day("2024-02-01")]
+    calls = []
+    build = job.build_snapshots
+
+    def counted(*args):
+        calls.append(args)
+        return build(*args)
+
+    def stop(*args):
+        raise Stopped
+
+    monkeypatch.setattr(job, "build_snapshots", counted)
+    monkeypatch.setattr(job, "assign_temporal_splits", lambda rows, dates: rows)
+    monkeypatch.setattr(job.ltv, "train_ltv", stop)
+
+    def run(*tables):
+        with pytest.raises(Stopped):
+            job.run(*tables, str(tmp_path), dates)
+        return spark.read.parquet(str(tmp_path / "user_snapshots")).count()
+
+    rows = run(users, events, orders)
+    assert len(calls) == 1 and rows > 0
+    # The same content in another order and layout: nothing is computed again.
+    assert run(users, events.repartition(3), orders) == rows and len(calls) == 1
+    monkeypatch.setattr(job.kpi, "calculate_kpis", stop)
+    assert run(users, events, orders) == rows and len(calls) == 1
+    monkeypatch.undo()
+    monkeypatch.setattr(job, "build_snapshots", counted)
+    monkeypatch.setattr(job, "assign_temporal_splits", lambda rows, dates: rows)
+    monkeypatch.setattr(job.ltv, "train_ltv", stop)
+    more = events.union(events.where("event_id = 2").withColumn("event_id", F.lit(77).cast("long")))
+    run(users, more, orders)
+    assert len(calls) == 2
+
+
 def test_reporting_edges(spark, sample):
     users, events, orders = sample
     funnel = reporting.event_funnel(events).collect()

@@ -17,8 +17,10 @@ from .ltv import temporal_design
 from .modeling import (
     VECTOR,
     Featurizer,
+    Forest,
     TreeSettings,
     balanced_weight,
+    fit_forest,
     fit_together,
     importance_table,
     keep_in_memory,
@@ -53,7 +55,7 @@ class ChurnModels:
     featurizer: Featurizer
     scaler: object
     logistic: object | None
-    forest: object | None
+    forest: Forest | None
     certain: float
 
     def raw_scores(self, frame: DataFrame, *keep: str) -> DataFrame:
@@ -65,7 +67,7 @@ class ChurnModels:
         return out.select(
             *keep,
             positive_probability("logistic_probability").alias(f"{LOGISTIC}_raw"),
-            positive_probability("forest_probability").alias(f"{FOREST}_raw"),
+            F.col("forest_positive").alias(f"{FOREST}_raw"),
         )
 
     def pipelines(self) -> dict:
@@ -73,7 +75,7 @@ class ChurnModels:
             return {}
         return {
             f"churn_{LOGISTIC}": self.featurizer.pipeline(self.scaler, self.logistic),
-            f"churn_{FOREST}": self.featurizer.pipeline(self.forest),
+            f"churn_{FOREST}": self.featurizer.pipeline(*self.forest.models),
         }
 
 
@@ -167,22 +169,25 @@ def fit_models(
         scaled.unpersist()
         return model
 
-    def fit_forest():
+    def estimator(size, own_seed, suffix):
         return RandomForestClassifier(
             featuresCol=VECTOR,
             labelCol="label",
             weightCol="weight",
-            predictionCol="forest_class",
-            probabilityCol="forest_probability",
-            rawPredictionCol="forest_raw_score",
-            numTrees=FOREST_SIZE["trees"],
+            predictionCol="forest_class" + suffix,
+            probabilityCol="forest_probability" + suffix,
+            rawPredictionCol="forest_raw_score" + suffix,
+            numTrees=size,
             minInstancesPerNode=FOREST_SIZE["leaf"],
             featureSubsetStrategy="sqrt",
-            seed=seed,
+            seed=own_seed,
             **trees.params(),
-        ).fit(weighted)
+        )
+
+    def grow():
+        return fit_forest(estimator, weighted, n, FOREST_SIZE["trees"], seed, "forest_positive")
 
-    logistic, forest = fit_together(train.sparkSession, fit_logistic, fit_forest)
+    logistic, forest = fit_together(train.sparkSession, fit_logistic, grow)
     data.unpersist()
     return ChurnModels(featurizer, scaler, logistic, forest, 0.0)
 

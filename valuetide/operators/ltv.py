@@ -17,11 +17,12 @@ from .evaluation import regression_metrics
 from .modeling import (
     VECTOR,
     Featurizer,
+    Forest,
     TreeSettings,
     balanced_weight,
+    fit_forest,
     fit_together,
     importance_table,
-    positive_probability,
     training_rows,
 )
 from .snapshots import LTV_HORIZON_DAYS, feature_columns
@@ -45,9 +46,9 @@ class Fitted:
 
     featurizer: Featurizer
     linear: object
-    forest: object
-    classifier: object | None
-    amount: object | None
+    forest: Forest
+    classifier: Forest | None
+    amount: Forest | None
     certain: float = 0.0
 
     def predict(self, frame: DataFrame, *keep: str) -> DataFrame:
@@ -58,7 +59,7 @@ class Fitted:
         hurdle = F.lit(self.certain)
         if self.classifier is not None:
             out = self.classifier.transform(out)
-            hurdle = positive_probability("hurdle_probability")
+            hurdle = F.col("hurdle_positive")
         if self.amount is not None:
             out = self.amount.transform(out)
             hurdle = hurdle * non_negative_expm1(F.col("hurdle_log_amount"))
@@ -71,12 +72,12 @@ class Fitted:
 
     def pipelines(self) -> dict[str, PipelineModel]:
         stages = {
-            f"ltv_{LINEAR}": self.linear,
-            f"ltv_{FOREST}": self.forest,
-            f"ltv_{HURDLE}_classifier": self.classifier,
-            f"ltv_{HURDLE}_amount": self.amount,
+            f"ltv_{LINEAR}": (self.linear,),
+            f"ltv_{FOREST}": self.forest.models,
+            f"ltv_{HURDLE}_classifier": self.classifier and self.classifier.models,
+            f"ltv_{HURDLE}_amount": self.amount and self.amount.models,
         }
-        return {k: self.featurizer.pipeline(m) for k, m in stages.items() if m is not None}
+        return {k: self.featurizer.pipeline(*m) for k, m in stages.items() if m}
 
 
 @dataclass
@@ -134,36 +135,45 @@ def fit_candidates(
     def fit_linear():
         return least_squares().fit(data)
 
-    def fit_forest():
-        columns = {"labelCol": "log_target", "predictionCol": "forest_log"}
-        return _forest(FOREST_SIZE, seed, trees, **columns).fit(data)
+    def regression(size: dict, rows: DataFrame, count: int, column: str) -> Forest:
+        def estimator(n, own_seed, suffix):
+            columns = {"labelCol": "log_target", "predictionCol": column + suffix}
+            return _forest({**size, "trees": n}, own_seed, trees, **columns)
+
+        return fit_forest(estimator, rows, count, size["trees"], seed, column)
 
     def fit_classifier():
         if not 0 < pos < n:
             return None
         weighted = data.withColumn("weight", balanced_weight(F.col("is_positive"), n, pos))
-        return RandomForestClassifier(
-            featuresCol=VECTOR,
-            labelCol="is_positive",
-            weightCol="weight",
-            predictionCol="hurdle_class",
-            probabilityCol="hurdle_probability",
-            rawPredictionCol="hurdle_raw",
-            numTrees=HURDLE_CLASSIFIER["trees"],
-            minInstancesPerNode=HURDLE_CLASSIFIER["leaf"],
-            seed=seed,
-            **trees.params(),
-        ).fit(weighted)
+
+        def estimator(size, own_seed, suffix):
+            return RandomForestClassifier(
+                featuresCol=VECTOR,
+                labelCol="is_positive",
+                weightCol="weight",
+                predictionCol="hurdle_class" + suffix,
+                probabilityCol="hurdle_probability" + suffix,
+                rawPredictionCol="hurdle_raw" + suffix,
+                numTrees=size,
+                minInstancesPerNode=HURDLE_CLASSIFIER["leaf"],
+                seed=own_seed,
+                **trees.params(),
+            )
+
+        return fit_forest(estimator, weighted, n, HURDLE_CLASSIFIER["trees"], seed, "hurdle_positive")
 
     def fit_amount():
         if not pos:
             return None
-        columns = {"labelCol": "log_target", "predictionCol": "hurdle_log_amount"}
-        positives = data.where(F.col("is_positive") == 1)
-        return _forest(HURDLE_AMOUNT, seed, trees, **columns).fit(positives)
+        return regression(HURDLE_AMOUNT, data.where(F.col("is_positive") == 1), pos, "hurdle_log_amount")
 
     linear, forest, classifier, amount = fit_together(
-        frame.sparkSession, fit_linear, fit_forest, fit_classifier, fit_amount
+        frame.sparkSession,
+        fit_linear,
+        lambda: regression(FOREST_SIZE, data, n, "forest_log"),
+        fit_classifier,
+        fit_amount,
     )
     data.unpersist()
     return Fitted(featurizer, linear, forest, classifier, amount, 1.0 if pos else 0.0)

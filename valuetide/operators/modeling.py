@@ -13,6 +13,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 VECTOR = "features"
 
 
@@ -69,8 +71,11 @@ class Featurizer:
 
 
 # A task of training aggregates the split statistics of a whole group of nodes
-# whatever its rows, so small tables are read by few tasks.
+# whatever its rows, so small tables are read by few tasks.  Their forests are
+# grown in parts instead, side by side: parts share the statistics out, where
+# more tasks would each shuffle all of them.
 ROWS_PER_TASK = 100_000
+MOST_PARTS = 4
 
 
 def keep_in_memory(df: DataFrame) -> DataFrame:
@@ -78,10 +83,74 @@ def keep_in_memory(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def tasks_for(rows: int) -> int:
+    return max(1, -(-rows // ROWS_PER_TASK))
+
+
 def training_rows(df: DataFrame) -> DataFrame:
-    """``df`` kept in memory, in as many partitions as its rows need."""
-    tasks = max(1, -(-df.count() // ROWS_PER_TASK))
-    return keep_in_memory(df.coalesce(tasks))
+    """``df`` kept in memory, in as many partitions as its rows need.
+
+    Node ids of deep trees are cut from their lineage in the shared folder.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return keep_in_memory(df.coalesce(tasks_for(df.count())))
+
+
+def forest_parts(rows: int, trees: int) -> list[int]:
+    """Trees of each part.  Rows alone decide, so every cluster grows the same forest."""
+    parts = max(1, min(MOST_PARTS // tasks_for(rows), trees))
+    return [trees * (k + 1) // parts - trees * k // parts for k in range(parts)]
+
+
+@dataclass(frozen=True)
+class Forest:
+    """A forest of parts whose trees weigh the same.
+
+    ``column`` gets the mean of the trees: a value, or the probability of
+    class 1.
+    """
+
+    models: tuple
+    column: str
+
+    @property
+    def sizes(self) -> list[int]:
+        return [m.getNumTrees for m in self.models]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        total = F.lit(0.0)
+        for model, size in zip(self.models, self.sizes):
+            df = model.transform(df)
+            if hasattr(model, "numClasses"):
+                value = positive_probability(model.getProbabilityCol())
+            else:
+                value = F.col(model.getPredictionCol())
+            total = total + value * size
+        return df.withColumn(self.column, total / sum(self.sizes))
+
+    @property
+    def importances(self) -> list[float]:
+        """Mean over the parts by their trees; sums to 1 unless no tree has a split."""
+        found = [m.featureImportances.toArray() * n for m, n in zip(self.models, self.sizes)]
+        total = sum(found)
+        return (total / (total.sum() or 1.0)).tolist()
+
+
+def fit_forest(
+    estimator: Callable[[int, int, str], object], data: DataFrame, rows: int, trees: int, seed: int, column: str
+) -> Forest:
+    """Grow the parts of a forest side by side.
+
+    ``estimator`` gives one for a number of trees, a seed and a suffix of its
+    output columns.
+    """
+    sizes = forest_parts(rows, trees)
+    fits = [
+        lambda k=k, n=n: estimator(n, seed + 7919 * k, f"_{k}").fit(data) for k, n in enumerate(sizes)
+    ]
+    return Forest(tuple(fit_together(data.sparkSession, *fits)), column)
 
 
 def fit_together(spark: SparkSession, *fits: Callable[[], object]) -> list:
@@ -103,8 +172,7 @@ def balanced_weight(label: Column, rows: int, positives: int) -> Column:
     return F.when(label == 1, rows / (2 * positives)).otherwise(rows / (2 * (rows - positives)))
 
 
-def importance_table(frame: DataFrame, columns: tuple[str, ...], model) -> DataFrame:
+def importance_table(frame: DataFrame, columns: tuple[str, ...], model: Forest) -> DataFrame:
     """(feature, importance) of a forest; one row per feature."""
-    values = model.featureImportances.toArray()
-    rows = [(c, float(v)) for c, v in zip(columns, values)]
+    rows = [(c, float(v)) for c, v in zip(columns, model.importances)]
     return frame.sparkSession.createDataFrame(rows, "feature string, importance double")

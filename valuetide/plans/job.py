@@ -2,12 +2,15 @@
 
 Intermediate tables that several stages read (user-days, snapshots) are written
 once to the output folder and read back, so later stages start from stored
-rows: a lost executor recomputes a scan, not the whole history.
+rows: a lost executor recomputes a scan, not the whole history.  A run that
+broke off goes on behind the last finished table (see ``stages``); models are
+fitted anew, as their folder holds whole versions only.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +20,7 @@ from ..operators.snapshots import DEFAULT_SNAPSHOTS, build_snapshots
 from ..operators.splits import assign_temporal_splits
 from ..sources import readers, sinks
 from . import modelstore
+from .stages import Stages, run_key
 
 
 @dataclass(frozen=True)
@@ -77,10 +81,17 @@ def run(
     """
     spark = users.sparkSession
     paths: dict[str, str] = {}
+    inputs = {"users": users, "events": events, "transactions": transactions}
+    quality.require_rows(inputs)
+    stages = Stages(spark, output, run_key(inputs, snapshot_dates=snapshot_dates))
 
-    def store(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    def staged(name: str, make, partition_by: str | None = None) -> DataFrame:
         paths[name] = f"{output}/{name}"
-        sinks.write_parquet(df, paths[name], partition_by)
+        return stages.table(name, make, partition_by)
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        paths[name] = f"{output}/{name}"
+        sinks.write_parquet(df, paths[name])
         return spark.read.parquet(paths[name])
 
     def export(name: str, df: DataFrame) -> None:
@@ -91,30 +102,30 @@ def run(
         paths[name] = f"{output}/metrics/{name}"
         sinks.write_metrics(df, paths[name])
 
-    quality.require_rows({"users": users, "events": events, "transactions": transactions})
-    quality.validate(users, events, transactions)
-    # Orders are counted as rows of their key, so the key has to hold.
-    quality.require_key(transactions, "transactions", ["order_id"])
-
-    days = store("user_days", kpi.user_days(events))
-    kpis = kpi.calculate_kpis(users, days, transactions)
-    daily = store("daily_kpis", kpis.daily)
-    monthly = store("monthly_kpis", kpis.monthly)
-    store("weekly_kpis", kpis.weekly)
-    store("channel_revenue", kpis.channel)
-
-    kept = retention.calculate_retention(users, days)
-    store("retention_summary", kept.summary)
-    cohorts = store("cohort_retention", kept.cohorts)
-    store("retention_by_channel", kept.by_channel)
-    store("retention_by_device", kept.by_device)
-
-    rows = build_snapshots(users, events, transactions, snapshot_dates)
-    rows = store(
-        "user_snapshots",
-        assign_temporal_splits(rows, snapshot_dates or DEFAULT_SNAPSHOTS),
-        partition_by="snapshot_date",
-    )
+    def checked_days() -> DataFrame:
+        quality.validate(users, events, transactions)
+        # Orders are counted as rows of their key, so the key has to hold.
+        quality.require_key(transactions, "transactions", ["order_id"])
+        return kpi.user_days(events)
+
+    days = staged("user_days", checked_days)
+    kpis = lru_cache(lambda: kpi.calculate_kpis(users, days, transactions))
+    daily = staged("daily_kpis", lambda: kpis().daily)
+    monthly = staged("monthly_kpis", lambda: kpis().monthly)
+    staged("weekly_kpis", lambda: kpis().weekly)
+    staged("channel_revenue", lambda: kpis().channel)
+
+    kept = lru_cache(lambda: retention.calculate_retention(users, days))
+    staged("retention_summary", lambda: kept().summary)
+    cohorts = staged("cohort_retention", lambda: kept().cohorts)
+    staged("retention_by_channel", lambda: kept().by_channel)
+    staged("retention_by_device", lambda: kept().by_device)
+
+    def split_rows() -> DataFrame:
+        rows = build_snapshots(users, events, transactions, snapshot_dates)
+        return assign_temporal_splits(rows, snapshot_dates or DEFAULT_SNAPSHOTS)
+
+    rows = staged("user_snapshots", split_rows, partition_by="snapshot_date")
 
     value = ltv.train_ltv(rows, seed, trees)
     risk = churn.train_churn(rows, seed, trees)

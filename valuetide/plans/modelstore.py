@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..operators import churn, ltv, segments
 from ..operators.evaluation import regression_metrics
-from ..operators.modeling import Featurizer
+from ..operators.modeling import Featurizer, Forest
 from ..sources import sinks
 
 MANIFEST = "manifest string"
@@ -188,6 +188,9 @@ def load(spark: SparkSession, folder: str, version: int | None = None) -> Stored
     def last(name: str):
         return stages[name][-1] if name in stages else None
 
+    def forest(name: str, column: str) -> Forest | None:
+        return Forest(tuple(stages[name][2:]), column) if name in stages else None
+
     def featurizer(name: str) -> Featurizer:
         imputer, assembler = stages[name][:2]
         return Featurizer(imputer, assembler, tuple(imputer.getInputCols()))
@@ -195,16 +198,16 @@ def load(spark: SparkSession, folder: str, version: int | None = None) -> Stored
     value = ltv.Fitted(
         featurizer("ltv_features"),
         last(f"ltv_{ltv.LINEAR}"),
-        last(f"ltv_{ltv.FOREST}"),
-        last(f"ltv_{ltv.HURDLE}_classifier"),
-        last(f"ltv_{ltv.HURDLE}_amount"),
+        forest(f"ltv_{ltv.FOREST}", "forest_log"),
+        forest(f"ltv_{ltv.HURDLE}_classifier", "hurdle_positive"),
+        forest(f"ltv_{ltv.HURDLE}_amount", "hurdle_log_amount"),
         record["ltv"]["certain"],
     )
     risk = churn.ChurnModels(
         featurizer("churn_features"),
         stages["churn_features"][2],
         last(f"churn_{churn.LOGISTIC}"),
-        last(f"churn_{churn.FOREST}"),
+        forest(f"churn_{churn.FOREST}", "forest_positive"),
         record["churn"]["certain"],
     )
     return Stored(number, place, record, value, risk)
