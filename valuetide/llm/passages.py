@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import discard, store
 
 WORDS = 51
 GRAM = 8
@@ -195,4 +195,7 @@ def shared_passages(docs: DataFrame, most_anchors: int = MOST_ANCHORS) -> DataFr
         .groupBy("row")
         .agg(F.sum("starts").alias("n"))
     )
-    return whole.unionByName(partly).groupBy("row").agg(F.sum("n").alias("n_passages"))
+    counts = whole.unionByName(partly).groupBy("row").agg(F.sum("n").alias("n_passages"))
+    result = store(counts, "passage-counts")
+    discard(found, anchors, strings)
+    return result
