@@ -176,26 +176,29 @@ def shared_passages(docs: DataFrame, most_anchors: int = MOST_ANCHORS) -> DataFr
         .drop("shared")
     )
     anchors = store(anchors, "passage-anchors")
+    whole = (
+        found.join(anchors.filter("NOT differ").select("anchor"), "anchor")
+        .select("row", "first", "starts")
+        .distinct()
+        .groupBy("row")
+        .agg(F.sum("starts").alias("n"))
+    )
+    whole = store(whole, "passage-whole")
     differ = anchors.filter("differ").select("anchor")
     n = differ.count()
     if 0 < n <= most_anchors:
         strings = _found_strings(long_enough, differ)
     else:
         runs = found.join(differ, "anchor").groupBy(F.col("row").alias("__row"))
-        wanted = runs.agg(F.collect_set(F.struct("first", "starts")).alias("wanted"))
+        wanted = store(runs.agg(F.collect_set(F.struct("first", "starts")).alias("wanted")), "passage-wanted")
         joined = long_enough.join(wanted, F.col("row") == F.col("__row"))
         strings = joined.select("row", "text", "wanted").mapInArrow(_joined_strings, STRING)
+    # The runs are the widest table; they go before the strings are written.
+    discard(found, anchors)
     strings = store(strings, "passage-strings")
     often = strings.groupBy("h").agg((F.min("row") < F.max("row")).alias("often")).filter("often").select("h")
     partly = strings.join(often, "h").select("row", "place").distinct().groupBy("row").agg(F.count(F.lit(1)).alias("n"))
-    whole = (
-        found.join(anchors.filter("NOT differ").select("anchor"), "anchor")
-        .select("row", "first", "starts")
-        .distinct()
-        .groupBy("row")
-        .agg(F.sum("starts").alias("n"))
-    )
     counts = whole.unionByName(partly).groupBy("row").agg(F.sum("n").alias("n_passages"))
     result = store(counts, "passage-counts")
-    discard(found, anchors, strings)
+    discard(strings)
     return result
