@@ -70,14 +70,14 @@ def feature_columns(frame: DataFrame) -> list[str]:
     return [c for c in frame.columns if c not in hidden]
 
 
-def _as_dates(snapshot_dates) -> list[dt.date]:
+def as_dates(snapshot_dates) -> list[dt.date]:
     days = [d.date() if isinstance(d, dt.datetime) else d for d in snapshot_dates]
     return sorted(set(days))
 
 
 def snapshot_spine(users: DataFrame, snapshot_dates=None) -> DataFrame:
     """Users who signed up strictly before each snapshot date."""
-    dates = _as_dates(snapshot_dates or DEFAULT_SNAPSHOTS)
+    dates = as_dates(snapshot_dates or DEFAULT_SNAPSHOTS)
     calendar = F.array(*[F.lit(d) for d in dates])
     signup = F.to_date("signup_date")
     return (
@@ -93,15 +93,19 @@ def _cents(amount: Column) -> Column:
     return (amount * 100).cast("bigint")
 
 
-def daily_rollup(events: DataFrame, transactions: DataFrame, before: dt.date) -> DataFrame:
+def daily_rollup(events: DataFrame, transactions: DataFrame, before: dt.date | None = None) -> DataFrame:
     """One row per user and day with the partial sums every feature needs.
 
     ``before`` bounds both scans: nothing on or after it can enter a window.
+    Facts without a time have no day and are left out.
     """
-    horizon = F.lit(before).cast("timestamp_ntz")
+
+    def in_time(column: str) -> Column:
+        return F.col(column).isNotNull() if before is None else F.col(column) < F.lit(before).cast("timestamp_ntz")
+
     kinds = {name: F.col("event_type") == kind for name, kind in COUNTED_EVENTS.items()}
     nothing = F.lit(None)
-    acts = events.where(F.col("event_time") < horizon).select(
+    acts = events.where(in_time("event_time")).select(
         "user_id",
         F.to_date("event_time").alias("date"),
         F.lit(1).alias("is_event"),
@@ -112,7 +116,7 @@ def daily_rollup(events: DataFrame, transactions: DataFrame, before: dt.date) ->
         nothing.cast("bigint").alias("net"),
         nothing.cast("timestamp_ntz").alias("bought_at"),
     )
-    buys = transactions.where(F.col("order_time") < horizon).select(
+    buys = transactions.where(in_time("order_time")).select(
         "user_id",
         F.to_date("order_time").alias("date"),
         nothing.cast("int").alias("is_event"),
@@ -140,6 +144,21 @@ def daily_rollup(events: DataFrame, transactions: DataFrame, before: dt.date) ->
     )
 
 
+# How day rows of one user and day become one: every column is a sum or a maximum.
+LARGEST = ("active", "seen_at", "bought_at")
+SUMMED = (*COUNTED_EVENTS, "session_sum", "session_n", "orders", "net", "net_n")
+
+
+def merged_days() -> list[Column]:
+    """Aggregates that merge the day rows of a group."""
+    return [F.max(c).alias(c) for c in LARGEST] + [F.sum(c).alias(c) for c in SUMMED]
+
+
+def horizon_of(dates: list[dt.date]) -> dt.date:
+    """The first day that no label of the dates looks at."""
+    return dates[-1] + dt.timedelta(days=max(LTV_HORIZON_DAYS, CHURN_HORIZON_DAYS))
+
+
 def build_snapshots(
     users: DataFrame, events: DataFrame, transactions: DataFrame, snapshot_dates=None
 ) -> DataFrame:
@@ -147,9 +166,13 @@ def build_snapshots(
 
     Missing values become 0, so a user who never bought has recency 0.
     """
-    dates = _as_dates(snapshot_dates or DEFAULT_SNAPSHOTS)
-    horizon = dates[-1] + dt.timedelta(days=max(LTV_HORIZON_DAYS, CHURN_HORIZON_DAYS))
-    rollup = daily_rollup(events, transactions, horizon)
+    dates = as_dates(snapshot_dates or DEFAULT_SNAPSHOTS)
+    return snapshots_of_days(users, daily_rollup(events, transactions, horizon_of(dates)), dates)
+
+
+def snapshots_of_days(users: DataFrame, rollup: DataFrame, snapshot_dates) -> DataFrame:
+    """Snapshots from the rows of ``daily_rollup``, of which a user and day has one at most."""
+    dates = as_dates(snapshot_dates)
     spine = snapshot_spine(users, dates).withColumn("date", F.col("snapshot_date"))
     timeline = rollup.unionByName(spine, allowMissingColumns=True).withColumn(
         "day", F.unix_date("date")

@@ -768,6 +768,7 @@ def _commerce() -> dict[str, str]:
     )
     f = _with
     return {
+        "snapshots_from_state": f(*base[:2], body="SELECT * FROM snapshots"),
         "cohort_matrix": f(
             COMMERCE,
             COHORTS,

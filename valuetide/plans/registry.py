@@ -8,9 +8,10 @@ that break the rules.  Evaluation, segment and BI queries score users with fixed
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (
@@ -28,6 +29,7 @@ from ..operators import (
 from ..session import delete_at_exit, scratch_path
 from ..sources import sinks
 from ..sources.worlds import WORLDS, World
+from . import daystate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -216,6 +218,33 @@ def _reloaded(spark: SparkSession, folder: str) -> tuple[World, dict, dict]:
     return w, frames, {name: spark.read.parquet(f"{base}/{name}") for name in frames}
 
 
+# Days that part the facts into batches, and the cut of the base.
+STATE_BATCHES = (dt.date(1999, 1, 1), dt.date(2000, 10, 1))
+STATE_CUT = dt.date(2000, 3, 1)
+
+
+def snapshots_from_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored snapshots after late facts and appended dates, equal to a full rebuild.
+
+    The middle batch comes last, when a base is there and early dates are made.
+    """
+    w = world("commerce", spark, folder)
+    state = daystate.DayState(spark, scratch_path(spark, "daystate"))
+    delete_at_exit(spark, state.folder)
+    first, second = (F.lit(d) for d in STATE_BATCHES)
+
+    def add(name: str, part: Callable[[Column], Column]) -> None:
+        state.add(name, w.events.where(part(F.col("event_time"))), w.transactions.where(part(F.col("order_time"))))
+
+    add("early", lambda t: t < first)
+    add("recent", lambda t: t >= second)
+    state.compact(STATE_CUT)
+    state.refresh(w.users, w.snapshot_dates[:4])
+    add("late", lambda t: (t >= first) & (t < second))
+    state.refresh(w.users, w.snapshot_dates)
+    return state.stored(w.users)
+
+
 def reconcile_reloaded(spark: SparkSession, folder: str) -> DataFrame:
     """Write every table, read it back, and compare with the source frames."""
     w, frames, loaded = _reloaded(spark, folder)
@@ -361,6 +390,7 @@ COMMERCE: dict[str, Query] = {
     "reconcile": reconcile_reloaded,
     "reconcile_digests": reconcile_digests,
     "reconcile_swapped": reconcile_swapped,
+    "snapshots_from_state": snapshots_from_state,
     "temporal_splits": split_snapshots,
     "split_audit": lambda s, d: splits.split_audit(split_snapshots(s, d)),
     "split_audit_leaky": split_audit_leaky,
