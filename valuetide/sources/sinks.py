@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from ..session import delete_at_exit, scratch_path
 from . import schemas
+from .published import create_tables, refresh_tables  # noqa: F401
 from .readers import DATE_FORMAT, TIMESTAMP_FORMAT
 
 # Rows per insert batch of the relational sink.
@@ -55,35 +56,6 @@ def write_metrics(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def create_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-
-
-def create_tables(spark: SparkSession, database: str) -> None:
-    """The five tables of the data model, if they do not exist yet."""
-    create_database(spark, database)
-    for table, columns in schemas.TABLES.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet")
-
-
-def refresh_tables(spark: SparkSession, database: str, frames: dict[str, DataFrame]) -> None:
-    """Full refresh of catalog tables, parents before children.
-
-    Tables without a given frame are emptied, as after a truncate.
-    """
-    create_tables(spark, database)
-    for table in schemas.TABLES:
-        frame = frames.get(table)
-        if frame is None:
-            frame = schemas.empty(spark, table)
-        aligned = schemas.conform(frame, table)
-        missing = [f for f in schemas.struct(table).fields if f.name not in aligned.columns]
-        for field in missing:
-            aligned = aligned.selectExpr("*", f"CAST(NULL AS {field.dataType.simpleString()}) AS {field.name}")
-        ordered = aligned.select(*schemas.struct(table).fieldNames())
-        ordered.write.mode("overwrite").insertInto(f"{database}.{table}", overwrite=True)
-
-
 def write_jdbc(frames: dict[str, DataFrame], url: str, **options: str) -> None:
     """Full refresh of an external database: truncate and append in batches.
 
