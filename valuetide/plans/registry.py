@@ -229,6 +229,7 @@ def snapshots_from_state(spark: SparkSession, folder: str) -> DataFrame:
     The middle batch comes last, when a base is there and early dates are made.
     """
     w = world("commerce", spark, folder)
+    users = sinks.materialize(w.users, "state-users")
     state = daystate.DayState(spark, scratch_path(spark, "daystate"))
     delete_at_exit(spark, state.folder)
     first, second = (F.lit(d) for d in STATE_BATCHES)
@@ -239,10 +240,10 @@ def snapshots_from_state(spark: SparkSession, folder: str) -> DataFrame:
     add("early", lambda t: t < first)
     add("recent", lambda t: t >= second)
     state.compact(STATE_CUT)
-    state.refresh(w.users, w.snapshot_dates[:4])
+    state.refresh(users, w.snapshot_dates[:4])
     add("late", lambda t: (t >= first) & (t < second))
-    state.refresh(w.users, w.snapshot_dates)
-    return state.stored(w.users)
+    state.refresh(users, w.snapshot_dates)
+    return state.stored(users)
 
 
 def reconcile_reloaded(spark: SparkSession, folder: str) -> DataFrame:
