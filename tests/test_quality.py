@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import ts
 from valuetide.operators import kpi, quality, reconcile
+from valuetide.plans import registry
 from valuetide.sources import schemas
 
 
@@ -47,6 +48,24 @@ def test_each_rule_raises(sample, name):
         quality.validate(*tables.values())
 
 
+def test_the_summary_of_invalid_data_is_a_row(spark, sample, tmp_path):
+    """A purchase of less than half a cent breaks the amount rule; the query says so as its SQL does."""
+    events = spark.createDataFrame(
+        [(1, ts("2024-01-03"), 5, "purchase", 0.004), (2, ts("2024-01-04"), 5, "view", 3.0)],
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    for name, row, ddl in (
+        ("customer", (5, 1, "MACHINERY"), "c_custkey long, c_nationkey int, c_mktsegment string"),
+        ("nation", (1, 1), "n_nationkey int, n_regionkey int"),
+        ("region", (1, "ASIA"), "r_regionkey int, r_name string"),
+    ):
+        spark.createDataFrame([row], ddl).write.parquet(f"{tmp_path}/{name}.parquet")
+    row = registry.queries()["dq_summary_activity"](spark, str(tmp_path)).first()
+    assert row.asDict() == {"users": 1, "events": 2, "transactions": 1, "status": "invalid"}
+    assert quality.validate(*sample, strict=False).first()["status"] == "valid"
+
+
 def test_violations_are_reported_together_but_a_broken_key_alone(sample):
     users, events, orders = sample
     events = set_where(events, "event_id = 1", session_duration=-1.0)

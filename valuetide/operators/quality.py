@@ -121,19 +121,23 @@ def _finding(rule: str, column: str):
     )
 
 
-def validate(users: DataFrame, events: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Row counts and status of valid data; raises ``ValueError`` otherwise.
+def validate(
+    users: DataFrame, events: DataFrame, transactions: DataFrame, strict: bool = True
+) -> DataFrame:
+    """Row counts and status, ``valid`` or ``invalid``.
 
-    A broken user key is reported alone, any other violations all together.
+    Invalid data raises ``ValueError`` if ``strict``: a broken user key is
+    reported alone, any other violations all together.
     """
     found = {r["rule"]: r["violations"] for r in quality_report(users, events, transactions).collect()}
     broken = [r for r in RULES if found[r]]
     if "users_key" in broken:
         broken = ["users_key"]
-    if broken:
+    if broken and strict:
         lines = [RULES[r].format(n=found[r]) for r in broken]
         raise ValueError("Data validation failed:\n- " + "\n- ".join(lines))
-    return row_counts(users, events, transactions).withColumn("status", F.lit("valid"))
+    status = "invalid" if broken else "valid"
+    return row_counts(users, events, transactions).withColumn("status", F.lit(status))
 
 
 def row_counts(users: DataFrame, events: DataFrame, transactions: DataFrame) -> DataFrame:
