@@ -46,6 +46,16 @@ def test_lost_repeated_and_null_rows_are_found(spark, orders):
     assert broken(reconcile.compare_digests(keyless, keyless, "order_id")) == []
 
 
+def test_ranges_of_keys_beyond_an_int(spark):
+    """A range's width fits an int, its start does not; int keys may lie further apart than an int."""
+    wide = spark.range(100).selectExpr("id * 90000000 AS order_id")
+    found = reconcile.compare_digests(wide, wide, "order_id").orderBy("range").collect()
+    assert broken(reconcile.compare_digests(wide, wide, "order_id")) == []
+    assert found[-1]["key_from"] <= 99 * 90000000 <= found[-1]["key_to"]
+    ints = spark.range(2).selectExpr("CAST(id * 4000000000 - 2000000000 AS INT) AS order_id")
+    assert [r["range"] for r in reconcile.compare_digests(ints, ints, "order_id").orderBy("range").collect()] == [0, 15]
+
+
 def test_validation_is_the_same_without_a_broadcast(sample, monkeypatch):
     users, events, orders = sample
     strangers = events.withColumn("user_id", F.when(F.col("event_id") < 3, 99).otherwise(F.col("user_id")))

@@ -96,7 +96,7 @@ class KeyRanges:
 
     def number(self) -> Column:
         """The range of a row; keys outside belong to the nearest range, NULL to -1."""
-        place = F.floor((F.col(self.key) - F.lit(self.low)) / F.lit(self.width))
+        place = F.floor((F.col(self.key).cast("bigint") - F.lit(self.low)) / F.lit(self.width))
         inside = F.least(F.greatest(place, F.lit(0)), F.lit(self.count - 1))
         return F.when(F.col(self.key).isNull(), -1).otherwise(inside).cast("int")
 
@@ -134,7 +134,8 @@ def compare_digests(
     aligned = actual.select(*[F.col(f.name).cast(f.dataType) for f in expected.schema.fields])
     want = digests(expected, ranges).withColumnsRenamed({"rows": "expected_rows", "digest": "want"})
     got = digests(aligned, ranges).withColumnsRenamed({"rows": "actual_rows", "digest": "got"})
-    start = F.col("range") * F.lit(ranges.width) + F.lit(ranges.low)
+    # As long integers: a small range number times a width may leave the range of an int.
+    start = F.col("range").cast("bigint") * F.lit(ranges.width) + F.lit(ranges.low)
     known = F.col("range") >= 0
     return want.join(got, "range", "full").select(
         "range",
