@@ -1,11 +1,14 @@
 """Every query with a SQL twin must match it exactly on the small scale factor."""
 
+import datetime as dt
 from pathlib import Path
 
 import pytest
 
 from tests.compare import connect, differences
 from valuetide.plans import oracles, registry
+from valuetide.sources import schemas
+from valuetide.sources.worlds import World
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = registry.queries()
@@ -27,3 +30,33 @@ def test_matches_sql(spark, con, name):
 def test_only_training_queries_lack_a_twin():
     assert set(SQL) <= set(QUERIES)
     assert all(n.startswith("model_") for n in set(QUERIES) - set(SQL))
+
+
+SHARED = (
+    "customer_predictions bi_measures bi_executive_cards bi_channel_cards bi_high_risk bi_ltv_by_channel "
+    "bi_probability_histogram segments value_risk_points segment_counts bi_value_segments"
+).split()
+
+
+@pytest.mark.parametrize("name", SHARED)
+def test_scored_snapshots_are_built_once(spark, monkeypatch, name):
+    """Features, both test splits and segments of a query come from one stored table."""
+    calls = []
+
+    def table(spark, folder):
+        calls.append(folder)
+        rows = [(1, dt.date(2001, 3, 1), "test", "test", "test", 0.9, 5.0, 1, 2, 3.0, 4.0)]
+        ddl = (
+            "user_id long, snapshot_date date, split string, ltv_split string, churn_split string, "
+            "churn_probability double, predicted_ltv double, churn_30d int, days_since_last_active int, "
+            "historical_ltv double, future_90d_revenue double"
+        )
+        return spark.createDataFrame(rows, ddl)
+
+    user = "user_id long, signup_date date, channel string, region string, device string"
+    nobody = spark.createDataFrame([(1, dt.date(1999, 1, 1), "MACHINERY", "ASIA", "Web")], user)
+    empty = schemas.empty(spark, "events"), schemas.empty(spark, "transactions")
+    monkeypatch.setattr(registry, "scored", table)
+    monkeypatch.setattr(registry, "world", lambda *_: World(nobody, *empty, []))
+    assert QUERIES[name](spark, "anywhere").columns
+    assert calls == ["anywhere"]
