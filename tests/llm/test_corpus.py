@@ -573,3 +573,16 @@ def test_passages_are_cut_and_spent_documents_go(spark):
     assert set(got) == {1, 3} and got[3].n_chars == 5
     assert got[1].text == f"{long}. ! {long}" and got[1].n_chars == len(got[1].text)
     assert [r.doc_id for r in decontam.decontaminate(df, bench, coverage=0.0).collect()] == [3]
+
+
+def test_texts_of_a_batch_are_encoded_in_portions():
+    """No list holds more than a portion beside its first text; order, NULL and long texts are kept."""
+    import pyarrow as pa
+
+    from valuetide.llm import binary
+
+    texts = [None, "", "a" * 30, "ä" * 40, None, *["word " * (k % 7) for k in range(200)], "b" * 500, "c"]
+    parts = list(binary.portions(pa.array(texts, pa.string()), 100))
+    assert [t for p in parts for t in p] == [t or "" for t in texts]
+    assert len(parts) > 10 and all(sum(len(t.encode()) for t in p[1:]) <= 100 for p in parts)
+    assert list(binary.portions(pa.array(["x", None], pa.string()))) == [["x", ""]]

@@ -29,6 +29,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -40,6 +41,7 @@ from .common import Recent
 MAGIC, VERSION = 0x54494445, 1
 END_ID = 0
 CACHE_PIECES = 400_000
+PORTION_BYTES = 1 << 20
 SHARD_BYTES, MOST_SHARDS = 256 << 20, 1 << 20
 
 # In texts of these characters only, Python's classes equal the library's.
@@ -102,6 +104,18 @@ class Encoder:
         return self.texts([text])[0]
 
 
+def portions(column: pa.Array, size: int = PORTION_BYTES) -> Iterator[list[str]]:
+    """The texts of a batch in turn, in lists of about ``size`` bytes; NULL is an empty text.
+
+    A text's pieces take many times its size, so those of a whole batch are
+    never in memory together.
+    """
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = (np.flatnonzero(np.diff(ends // size)) + 1).tolist()
+    for a, b in zip([0, *cuts], [*cuts, len(column)]):
+        yield [t or "" for t in column.slice(a, b - a).to_pylist()]
+
+
 @cache
 def encoder(path: str) -> Encoder:
     """One for each worker process, which serves many tasks."""
@@ -161,10 +175,11 @@ def write_tokens(
                 for i in batch.column(0).to_pylist():
                     names.append(i or 0)
                     absent.append(i is None)
-                pieces = encode.texts([t or "" for t in batch.column(1).to_pylist()])
-                out.write(end.join([*pieces, b""]))
-                for piece in pieces:
-                    ends.append(ends[-1] + len(piece) // width + 1)
+                for texts in portions(batch.column(1)):
+                    pieces = encode.texts(texts)
+                    out.write(end.join([*pieces, b""]))
+                    for piece in pieces:
+                        ends.append(ends[-1] + len(piece) // width + 1)
         header = np.array([MAGIC, VERSION, width, len(names), ends[-1]], "<u8")
         with _draft(f"{path}/part-{shard:06d}.idx") as out:
             for part in (header, np.array(ends, "<u8"), np.array(names, "<i8"), np.array(absent, "<u8")):
