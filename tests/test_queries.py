@@ -6,8 +6,8 @@ from pathlib import Path
 import pytest
 
 from tests.compare import connect, differences
-from valuetide.plans import oracles, registry
-from valuetide.sources import schemas
+from valuetide.plans import daystate, oracles, registry
+from valuetide.sources import schemas, worlds
 from valuetide.sources.worlds import World
 
 FOLDER = "/root/testdata/sf0.001"
@@ -60,3 +60,34 @@ def test_scored_snapshots_are_built_once(spark, monkeypatch, name):
     monkeypatch.setattr(registry, "world", lambda *_: World(nobody, *empty, []))
     assert QUERIES[name](spark, "anywhere").columns
     assert calls == ["anywhere"]
+
+
+@pytest.mark.parametrize("name", ["reconcile", "reconcile_digests", "snapshots_from_state"])
+def test_roles_are_made_once(spark, monkeypatch, tmp_path, name):
+    """Later passes read stored roles: the tables are read by one commerce world only."""
+    day = dt.datetime(2000, 9, 5)
+    tables = {
+        "customer": ([(5, 1, "MACHINERY")], "c_custkey long, c_nationkey int, c_mktsegment string"),
+        "nation": ([(1, 1)], "n_nationkey int, n_regionkey int"),
+        "region": ([(1, "ASIA")], "r_regionkey int, r_name string"),
+        "orders": ([(8, 5, 20.0, day)], "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz"),
+        "lineitem": (
+            [(8, 1, 1, 1, 2.0, 9.0, "R", day), (8, 2, 1, 2, 1.0, 3.0, "N", day)],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+            "l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz",
+        ),
+    }
+    for table, (rows, ddl) in tables.items():
+        spark.createDataFrame(rows, ddl).write.parquet(f"{tmp_path}/{table}.parquet")
+    read, whole = [], worlds._table
+    monkeypatch.setattr(worlds, "_table", lambda s, d, t: read.append(t) or whole(s, d, t))
+    facts, add = [], daystate.DayState.add
+
+    def seen(state, name, events, transactions):
+        facts.extend([*events.inputFiles(), *transactions.inputFiles()])
+        return add(state, name, events, transactions)
+
+    monkeypatch.setattr(daystate.DayState, "add", seen)
+    found = QUERIES[name](spark, str(tmp_path)).collect()
+    assert read.count("lineitem") == 1 and not any("lineitem.parquet" in f for f in facts)
+    assert all(r["ok"] for r in found) if "ok" in found[0] else len(found) == 6
