@@ -238,3 +238,29 @@ def test_a_buyer_of_most_orders_reaches_the_join_once(spark):
         assert rows[name] == (2.0 * n, len(ids), n)
     for df in (kpi.channel_revenue(users, orders), kpi.monthly_revenue(orders)):
         assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_retention_counts_hits_of_repeated_and_unknown_users_once(spark):
+    """Rows of a user come together before they are counted: nothing is expanded for distinct counts."""
+    users = frame(
+        spark,
+        [
+            (1, day("2024-01-01"), "a", "Web"),
+            (1, day("2024-01-02"), "a", "Web"),
+            (2, day("2024-01-01"), None, "Web"),
+            (3, day("2024-01-01"), "b", "iOS"),
+            (None, day("2024-01-01"), "a", "iOS"),
+        ],
+        USERS,
+    )
+    moments = [(1, "2024-01-02"), (1, "2024-01-03"), (1, "2024-01-08"), (2, "2024-01-02"), (None, "2024-01-02"), (3, "2024-03-01")]
+    events = frame(spark, [(k, u, ts(t), "login", 1.0) for k, (u, t) in enumerate(moments)], EVENTS)
+    by = retention.retention_by(users, events, "channel")
+    assert {r[0]: tuple(r)[1:] for r in by.collect()} == {"a": (1.0, 1.0, 0.0), "b": (None, None, None)}
+    whole = retention.day_n_retention(users, events)
+    assert tuple(whole.first()) == (2 / 5, 1 / 5, 0.0)
+    for found in (by, whole):
+        hits = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in hits and "hits" in hits
+    months = retention.user_months(users, events, "channel")
+    assert sorted(retention.retention_by(users, events, "channel", months).collect(), key=str) == sorted(by.collect(), key=str)

@@ -29,20 +29,13 @@ def _observation_end(days: DataFrame):
 MONTHS = {"user_id", "signup_date", "cohort", "period", "hits", "once"}
 
 
-def user_months(users: DataFrame, events: DataFrame, *dimensions: str) -> DataFrame:
-    """One row per user row and active month: cohort, months since signup, hits.
-
-    Bit k of ``hits`` tells activity exactly ``RETENTION_DAYS[k]`` days after
-    signup; of rows that repeat a user, cohort and month one has ``once`` set.
-    Passes its own output through.
-    """
-    if MONTHS <= set(events.columns):
-        return events
+def _days_of_users(users: DataFrame, events: DataFrame, *dimensions: str) -> DataFrame:
+    """User-days next to their user rows: signup, months since then, retention days hit."""
     signup = F.to_date("signup_date")
     who = users.select("user_id", signup.alias("signup_date"), *dimensions).where("signup_date IS NOT NULL")
     day = F.datediff("date", "signup_date")
     bits = [F.when(day == d, 1 << k).otherwise(0) for k, d in enumerate(RETENTION_DAYS)]
-    months = (
+    return (
         user_days(events)
         .where(F.col("date").isNotNull())
         .join(who, "user_id")
@@ -53,6 +46,20 @@ def user_months(users: DataFrame, events: DataFrame, *dimensions: str) -> DataFr
             (month_index(F.col("date")) - month_index(F.col("signup_date"))).alias("period"),
             sum(bits[1:], bits[0]).alias("hit"),
         )
+    )
+
+
+def user_months(users: DataFrame, events: DataFrame, *dimensions: str) -> DataFrame:
+    """One row per user row and active month: cohort, months since signup, hits.
+
+    Bit k of ``hits`` tells activity exactly ``RETENTION_DAYS[k]`` days after
+    signup; of rows that repeat a user, cohort and month one has ``once`` set.
+    Passes its own output through.
+    """
+    if MONTHS <= set(events.columns):
+        return events
+    months = (
+        _days_of_users(users, events, *dimensions)
         .groupBy("user_id", "signup_date", *dimensions, "period")
         .agg(F.bit_or("hit").alias("hits"))
         .withColumn("cohort", month_start(F.col("signup_date")))
@@ -61,12 +68,26 @@ def user_months(users: DataFrame, events: DataFrame, *dimensions: str) -> DataFr
     return months.withColumn("once", F.row_number().over(same) == 1)
 
 
-def _hit_users() -> list:
-    """Distinct users with a hit, one count a retention day; for rows with hits."""
-    return [
-        F.countDistinct(F.when(F.col("hits").bitwiseAND(1 << k) != 0, F.col("user_id"))).alias(f"r{d}")
-        for k, d in enumerate(RETENTION_DAYS)
-    ]
+def _hit_users(users: DataFrame, events: DataFrame, months: DataFrame | None, *dimensions: str) -> DataFrame:
+    """Distinct users with a hit per value of the dimensions, one count a retention day.
+
+    Only rows with a hit are grouped, to one a user first, so nothing is
+    expanded for the distinct counts.
+    """
+    if months is None and MONTHS <= set(events.columns):
+        months = events
+    if months is None:
+        rows = _days_of_users(users, events, *dimensions).withColumnRenamed("hit", "hits")
+    else:
+        rows = months
+    each = rows.where("hits <> 0").groupBy("user_id", *dimensions).agg(F.bit_or("hits").alias("hits"))
+    known = F.col("user_id").isNotNull()
+    return each.groupBy(*dimensions).agg(
+        *[
+            F.count_if(known & (F.col("hits").bitwiseAND(1 << k) != 0)).alias(f"r{d}")
+            for k, d in enumerate(RETENTION_DAYS)
+        ]
+    )
 
 
 def day_n_retention(
@@ -86,9 +107,8 @@ def day_n_retention(
             for d in RETENTION_DAYS
         ]
     )
-    hits = (months if months is not None else user_months(users, days)).where("hits <> 0")
     # An activity on day d proves signup + d <= last event date: all hits are matured.
-    retained = hits.agg(*_hit_users())
+    retained = _hit_users(users, days, months)
     one_row = matured.withColumn("k", F.lit(1)).join(retained.withColumn("k", F.lit(1)), "k")
     return one_row.select(
         *[
@@ -205,12 +225,7 @@ def retention_by(
         .groupBy(dimension)
         .agg(F.countDistinct("user_id").alias("size"))
     )
-    months = months if months is not None else user_months(users, events, dimension)
-    hits = (
-        months.where((F.col("hits") != 0) & F.col(dimension).isNotNull())
-        .groupBy(dimension)
-        .agg(*_hit_users())
-    )
+    hits = _hit_users(users, events, months, dimension).where(F.col(dimension).isNotNull())
     return sizes.join(hits, dimension, "left").select(
         dimension,
         *[ratio(F.col(f"r{d}"), F.col("size")).alias(f"day_{d}") for d in RETENTION_DAYS],
