@@ -1,11 +1,13 @@
 """Every query with a SQL twin must match it exactly on the small scale factor."""
 
 import datetime as dt
+import re
 from pathlib import Path
 
 import pytest
 
 from tests.compare import connect, differences
+from valuetide import session
 from valuetide.plans import daystate, oracles, registry
 from valuetide.sources import schemas, worlds
 from valuetide.sources.worlds import World
@@ -91,3 +93,15 @@ def test_roles_are_made_once(spark, monkeypatch, tmp_path, name):
     found = QUERIES[name](spark, str(tmp_path)).collect()
     assert read.count("lineitem") == 1 and not any("lineitem.parquet" in f for f in facts)
     assert all(r["ok"] for r in found) if "ok" in found[0] else len(found) == 6
+
+
+def test_orders_and_lines_are_dealt_by_their_size(spark, monkeypatch):
+    """A larger table makes more pieces, not larger ones."""
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
+    assert session.pieces_of(lines) == [1]
+    size = session.estimated_bytes(lines)
+    monkeypatch.setattr(session, "PIECE_BYTES", -(-size // 7))
+    assert session.pieces_of(lines) == [7]
+    plan = worlds.commerce_world(spark, FOLDER).transactions._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\((\w)_orderkey#\w+, 7\), REPARTITION_BY_NUM", plan)
+    assert sorted(dealt) == ["l", "o"]

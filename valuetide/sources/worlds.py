@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import pieces_of
 from .sinks import materialize
 
 # Fixture choices for the derived roles.
@@ -120,7 +121,10 @@ def commerce_world(spark: SparkSession, folder: str) -> World:
     # Line numbers repeat within an order; the place in it is its own.
     content = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
     place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*content))
-    lines = _table(spark, folder, "lineitem").withColumn("place", place)
+    lines = _table(spark, folder, "lineitem")
+    pieces = pieces_of(lines)
+    lines = lines.repartition(*pieces, "l_orderkey").withColumn("place", place)
+    headers = orders.repartition(*pieces, "o_orderkey")
     order_events = orders.select(
         (F.col("o_orderkey") * 1000).alias("event_id"),
         F.col("o_custkey").alias("user_id"),
@@ -128,7 +132,7 @@ def commerce_world(spark: SparkSession, folder: str) -> World:
         F.lit("purchase").alias("event_type"),
         (F.col("o_orderkey") % 60).cast("decimal(10,2)").alias("session_duration"),
     )
-    owner = orders.select("o_orderkey", "o_custkey")
+    owner = headers.select("o_orderkey", "o_custkey")
     line_events = lines.join(owner, F.col("l_orderkey") == F.col("o_orderkey")).select(
         (F.col("l_orderkey") * 1000 + F.col("place")).alias("event_id"),
         F.col("o_custkey").alias("user_id"),
@@ -144,7 +148,7 @@ def commerce_world(spark: SparkSession, folder: str) -> World:
     )
     amount = F.col("o_totalprice").cast("decimal(12,2)")
     refund = F.least(amount, F.coalesce("returned", F.lit(0))).cast("decimal(12,2)")
-    transactions = orders.join(
+    transactions = headers.join(
         returned, F.col("o_orderkey") == F.col("l_orderkey"), "left"
     ).select(
         F.col("o_orderkey").alias("order_id"),
