@@ -8,8 +8,9 @@ import pytest
 
 from tests.compare import connect, differences
 from valuetide import session
+from valuetide.operators import reporting
 from valuetide.plans import daystate, oracles, registry
-from valuetide.sources import schemas, worlds
+from valuetide.sources import schemas, sinks, worlds
 from valuetide.sources.worlds import World
 
 FOLDER = "/root/testdata/sf0.001"
@@ -95,6 +96,33 @@ def test_roles_are_made_once(spark, monkeypatch, tmp_path, name):
     assert all(r["ok"] for r in found) if "ok" in found[0] else len(found) == 6
 
 
+NEEDED = {
+    "segments": registry.SEGMENT_COLUMNS,
+    "value_risk_points": registry.SEGMENT_COLUMNS,
+    "bi_measures": registry.CARD_COLUMNS,
+    "bi_executive_cards": registry.CARD_COLUMNS,
+    "bi_channel_cards": registry.CARD_COLUMNS,
+}
+
+
+@pytest.mark.parametrize("name", sorted(NEEDED))
+def test_only_what_a_query_takes_is_stored(spark, monkeypatch, name):
+    """Scored snapshots without the features no column comes from; facts of the cards once each."""
+    stored, whole = {}, sinks.materialize
+
+    def materialize(df, label, *rest):
+        assert label not in stored
+        stored[label] = set(df.columns)
+        return whole(df, label, *rest)
+
+    for module in (sinks, reporting):
+        monkeypatch.setattr(module, "materialize", materialize)
+    QUERIES[name](spark, FOLDER)
+    assert stored.pop("scored") == set(NEEDED[name])
+    facts = {"users", "user-days", "daily-activity"} if name.endswith("cards") else {"daily-activity"}
+    assert set(stored) == (facts if name.startswith("bi_") else set())
+
+
 def test_orders_and_lines_are_dealt_by_their_size(spark, monkeypatch):
     """A larger table makes more pieces, not larger ones."""
     lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
