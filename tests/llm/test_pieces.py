@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from sentencepiece import SentencePieceProcessor
 
@@ -46,6 +47,20 @@ def test_texts_of_hard_characters(library):
         assert own.by_list(text[:400]) == own.by_heap(text[:400])
 
 
+def test_short_runs_are_worked_side_by_side(monkeypatch):
+    """As one by one, also where characters are no piece; no short run has a list of its own."""
+    own = pieces.Pieces(public_tokenizer(NAME)())
+    rng = random.Random(8)
+    pool = "theingards▁.,\n%é日🎉\x00"
+    runs = ["".join(rng.choice(pool) for _ in range(n)) for n in range(1, pieces.WIDTHS[-1] + 20) for _ in range(40)]
+    want = [list(map(int, own.run_ids(r))) for r in runs]
+    lists = []
+    monkeypatch.setattr(own, "by_list", lists.append)
+    monkeypatch.setattr(pieces, "ROWS", 7)
+    assert [np.frombuffer(b, "<u4").tolist() for b in own.checked(runs)] == want
+    assert lists == []
+
+
 def test_agenda_prefers_high_scores_then_the_left():
     own = pieces.Pieces.__new__(pieces.Pieces)
     own.costs = {"ab": 1.0, "bc": 0.0, "aa": 2.0, "aab": 5.0}

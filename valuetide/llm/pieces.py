@@ -6,7 +6,10 @@ leftmost of equal scores.  The top pair is merged and the merged symbol's
 pairs with its neighbours take their places.  What is left when the agenda is
 empty are the text's pieces; characters that are no piece become their bytes.
 The agenda of a long text is a heap, in which pairs that have changed since are
-passed over; a short one's is a plain list, in order of place.
+passed over.  Short ones are worked side by side, each a row of symbols and one
+of its pairs' costs in order of place: a round merges the first least pair of
+every row.  Vocabularies without bytes have plain lists for runs with unknown
+characters.
 
 Where no piece has a space sign behind another character, no pair crosses the
 edge before a space sign, so the runs between these edges are encoded each for
@@ -25,7 +28,7 @@ import heapq
 import re
 from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +41,10 @@ from .common import Recent
 
 CACHE_RUNS = 600_000
 CACHED_CHARS = 64
-SHORT_CHARS = 48
+# Runs up to a length share an agenda of so many columns; longer ones have a heap each.
+WIDTHS = (8, 12, 16, 24, 48)
+# Runs worked side by side, few enough for the processor's cache.
+ROWS = 2_000
 NEVER = float("inf")
 BATCH_CHARS = 4_000_000
 
@@ -68,12 +74,92 @@ class Pieces:
         self.costs = {names[i]: -library.get_score(i) for i in own}
         self.unknown = library.unk_id()
         self.whole = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
+        self.decimal = list(map(str, range(size)))
+        self.pairs: np.ndarray | None = None
         self.differing: set[str] = set()
         self.recent = Recent(self.checked, CACHE_RUNS)
 
+    def _number_pairs(self) -> None:
+        """Numbers for symbols, those of pieces their ids, and what each pair of them makes.
+
+        Characters that are no piece come after the ids, in order of their code
+        points, and then the edge of a row.
+        """
+        size = len(self.decimal)
+        numbers = {c: size + ord(c) for p in self.ids for c in p} | self.ids
+        self.pieces, self.edge = size, size + 0x110000
+        self.letters = np.arange(size, self.edge, dtype=np.int32)
+        for symbol, number in numbers.items():
+            if len(symbol) == 1:
+                self.letters[ord(symbol)] = number
+        made = {
+            (numbers[p[:cut]] * (self.edge + 1) + numbers[p[cut:]]): i
+            for p, i in self.ids.items()
+            for cut in range(1, len(p))
+            if p[:cut] in numbers and p[cut:] in numbers
+        }
+        self.pairs = np.array(sorted(made) + [np.iinfo(np.int64).max])
+        self.made = np.array([made[k] for k in self.pairs[:-1].tolist()] + [0], np.int32)
+        costs = np.full(size, NEVER)
+        for piece, i in self.ids.items():
+            costs[i] = self.costs[piece]
+        self.made_costs = costs[self.made]
+
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Costs of pairs of symbols and what they make; no cost is as high as that of no piece."""
+        keys = left.astype(np.int64) * (self.edge + 1) + right
+        places = np.searchsorted(self.pairs, keys)
+        return np.where(self.pairs[places] == keys, self.made_costs[places], NEVER), self.made[places]
+
+    def side_by_side(self, runs: list[str], width: int) -> list[bytes | None]:
+        """Ids of runs of at most ``width`` characters; None where an unknown one has no bytes."""
+        if self.pairs is None:
+            self._number_pairs()
+        lengths = np.fromiter(map(len, runs), np.int64, len(runs))
+        columns = np.arange(width + 2)
+        symbols = np.full((len(runs), width + 2), self.edge, np.int32)
+        inside = (columns >= 1) & (columns <= lengths[:, None])
+        symbols[inside] = self.letters[np.frombuffer("".join(runs).encode("utf-32-le"), "<u4")]
+        costs, made = self._joined(symbols[:, :-1], symbols[:, 1:])
+        out: list[bytes | None] = [None] * len(runs)
+        rows = np.arange(len(runs))
+        while len(rows):
+            first = costs.argmin(1)
+            each = np.arange(len(rows))
+            on = costs[each, first] < NEVER
+            if not on.all():
+                # Nothing is left on these agendas: their symbols are the pieces.
+                done = symbols[~on]
+                whole = ((done < self.pieces) | (done == self.edge)).all(1)
+                counts = (done != self.edge).sum(1)
+                for row, fine, n, ids in zip(rows[~on].tolist(), whole.tolist(), counts.tolist(), done):
+                    if fine:
+                        out[row] = ids[1 : n + 1].tobytes()
+                    elif self.bytes:
+                        out[row] = self._with_bytes(ids[1 : n + 1].tolist())
+                rows, symbols, costs, made, first = rows[on], symbols[on], costs[on], made[on], first[on]
+                each = each[: len(rows)]
+                if not len(rows):
+                    break
+            merged, k = made[each, first], first[:, None]
+            symbols = np.take_along_axis(symbols, np.minimum(columns + (columns > k), width + 1), 1)
+            symbols[:, -1] = self.edge
+            symbols[each, first] = merged
+            kept = np.minimum(columns[:-1] + (columns[:-1] >= k), width)
+            costs, made = np.take_along_axis(costs, kept, 1), np.take_along_axis(made, kept, 1)
+            for place in (first - 1, first):
+                costs[each, place], made[each, place] = self._joined(symbols[each, place], symbols[each, place + 1])
+        return out
+
+    def _with_bytes(self, symbols: list[int]) -> bytes:
+        out: list[int] = []
+        for s in symbols:
+            out += [s] if s < self.pieces else [self.bytes[b] for b in chr(s - self.pieces).encode()]
+        return np.array(out, "<u4").tobytes()
+
     def symbols(self, text: str) -> list[str]:
         """What is left of the characters of ``text`` when no pair can be merged."""
-        return self.by_list(text) if len(text) <= SHORT_CHARS else self.by_heap(text)
+        return self.by_list(text) if len(text) <= WIDTHS[-1] else self.by_heap(text)
 
     def by_list(self, text: str) -> list[str]:
         cost = self.costs.get
@@ -135,12 +221,24 @@ class Pieces:
 
     def checked(self, runs: list[str]) -> list[bytes]:
         """The ids of runs as 32-bit words; runs that the library encodes otherwise are noted."""
-        ids = list(map(self.run_ids, runs))
+        found: list[bytes | None] = [None] * len(runs)
+        lengths = np.fromiter(map(len, runs), np.int64, len(runs))
+        for above, width in zip((0, *WIDTHS), WIDTHS):
+            places = np.flatnonzero((lengths > above) & (lengths <= width)).tolist()
+            for start in range(0, len(places), ROWS):
+                some = places[start : start + ROWS]
+                for place, ids in zip(some, self.side_by_side([runs[k] for k in some], width)):
+                    found[place] = ids
+        ids = [np.array(self.run_ids(r), "<u4").tobytes() if x is None else x for r, x in zip(runs, found)]
         # The library puts its space sign before a text, so a run's own first one is left out.
         bare = [r.removeprefix(SPACE).replace(SPACE, " ") for r in runs]
         theirs = self.library.encode(bare, num_threads=1)
-        self.differing.update(r for r, x, y in zip(runs, ids, theirs) if x != y and r != SPACE)
-        return [np.array(x, "<u4").tobytes() for x in ids]
+        counts = np.fromiter(map(len, theirs), np.int64, len(runs))
+        whole = np.fromiter(chain.from_iterable(theirs), "<u4", counts.sum()).tobytes()
+        ends = (4 * counts.cumsum()).tolist()
+        same = (x == whole[a:b] for x, a, b in zip(ids, [0, *ends], ends))
+        self.differing.update(r for r, fine in zip(runs, same) if not fine and r != SPACE)
+        return ids
 
     def runs(self, normal: str) -> list[str]:
         """Parts of a normalised text that are encoded each for itself."""
@@ -225,10 +323,11 @@ def piece_digests(docs: DataFrame, name: str = "piece_bpe_32k.model") -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for keys, ids, decoded, agrees in _encoded(batches, tokenizer()):
+            decimal = vocabulary(tokenizer()).decimal.__getitem__
             columns = [
                 keys,
                 pa.array(list(map(len, ids)), pa.int64()),
-                pa.array([digest(",".join(map(str, x))) for x in ids], pa.string()),
+                pa.array([digest(",".join(map(decimal, x))) for x in ids], pa.string()),
                 pa.array(list(map(digest, decoded)), pa.string()),
                 pa.array(agrees, pa.bool_()),
             ]
