@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 
 from valuetide.operators import forest
 
@@ -71,3 +71,24 @@ def test_a_value_that_fills_many_bins_leaves_the_rest_to_the_others(spark):
     many, few = forest.split_points(rows, ["x", "y"], 32)
     assert 25 <= len(many) <= 31 and many[0] == 0.0
     assert few.tolist() == [0.5, 1.5, 2.5]
+
+
+def test_a_forest_is_scored_and_stored_as_a_table_and_no_model_of_it_is_loaded(spark, data, monkeypatch, tmp_path):
+    """Models of deep forests took the driver longer to load than the trees to grow."""
+    from valuetide.operators import modeling
+
+    def estimator(n, seed, suffix):
+        return regressor(numTrees=n, seed=seed, predictionCol="p" + suffix)
+
+    load = RandomForestRegressionModel.load
+    monkeypatch.setattr(RandomForestRegressionModel, "load", lambda path: pytest.fail("a model was loaded"))
+    found = modeling.fit_forest(estimator, data, 3000, 6, 5, "mean")
+    scored = found.transform(data.select("x", "features"))
+    modeling.PipelineModel(list(found.stages)).write().save(str(tmp_path / "pipeline"))
+    own = {r["features"]: r["mean"] for r in scored.collect()}
+    assert len(own) == scored.distinct().count() and sum(found.importances) == pytest.approx(1)
+    monkeypatch.setattr(RandomForestRegressionModel, "load", load)
+    saved = modeling.Forest(tuple(modeling.PipelineModel.load(str(tmp_path / "pipeline")).stages), "mean")
+    assert sum(saved.sizes) == 6 and saved.importances == pytest.approx(found.importances)
+    for r in saved.transform(data.select("features")).collect():
+        assert own[r["features"]] == pytest.approx(r["mean"])
