@@ -206,3 +206,14 @@ def test_single_test_snapshot_is_required(spark, maturity):
 def test_split_column_fallback(maturity):
     assert splits.split_column(maturity, "churn") == "churn_split"
     assert splits.split_column(maturity.drop("churn_split"), "churn") == "split"
+
+
+def test_users_and_facts_dealt_into_pieces_give_the_same_rows_by_one_exchange(spark, sample):
+    """Days were dealt twice, into a number of tasks that did not grow with the facts."""
+    users, events, orders = sample
+    dates = [day("2024-01-05"), day("2024-02-10"), day("2024-03-01")]
+    dealt = snapshots.build_snapshots(users, events, orders, dates, pieces=13)
+    assert sorted(dealt.collect()) == sorted(snapshots.build_snapshots(users, events, orders, dates).collect())
+    plan = dealt._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    exchanges = [x for x in plan.splitlines() if "Exchange " in x]
+    assert len(exchanges) == 2 and all("REPARTITION_BY_NUM" in x and ", 13)" in x for x in exchanges)

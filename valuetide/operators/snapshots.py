@@ -93,11 +93,15 @@ def _cents(amount: Column) -> Column:
     return (amount * 100).cast("bigint")
 
 
-def daily_rollup(events: DataFrame, transactions: DataFrame, before: dt.date | None = None) -> DataFrame:
+def daily_rollup(
+    events: DataFrame, transactions: DataFrame, before: dt.date | None = None, pieces: int | None = None
+) -> DataFrame:
     """One row per user and day with the partial sums every feature needs.
 
     ``before`` bounds both scans: nothing on or after it can enter a window.
-    Facts without a time have no day and are left out.
+    Facts without a time have no day and are left out.  With ``pieces`` the
+    facts are dealt by user into so many, and days are made and kept there;
+    else they are combined before they are dealt.
     """
 
     def in_time(column: str) -> Column:
@@ -127,8 +131,9 @@ def daily_rollup(events: DataFrame, transactions: DataFrame, before: dt.date | N
         _cents(net_revenue()).alias("net"),
         F.col("order_time").alias("bought_at"),
     )
+    facts = acts.unionByName(buys)
     return (
-        acts.unionByName(buys)
+        (facts.repartition(pieces, "user_id") if pieces else facts)
         .groupBy("user_id", "date")
         .agg(
             F.max("is_event").alias("active"),
@@ -160,14 +165,17 @@ def horizon_of(dates: list[dt.date]) -> dt.date:
 
 
 def build_snapshots(
-    users: DataFrame, events: DataFrame, transactions: DataFrame, snapshot_dates=None
+    users: DataFrame, events: DataFrame, transactions: DataFrame, snapshot_dates=None, pieces: int | None = None
 ) -> DataFrame:
     """Features over ``[snapshot - d, snapshot)`` and labels over ``[snapshot, snapshot + h)``.
 
-    Missing values become 0, so a user who never bought has recency 0.
+    Missing values become 0, so a user who never bought has recency 0.  With
+    ``pieces`` users and their facts are dealt into so many, once.
     """
     dates = as_dates(snapshot_dates or DEFAULT_SNAPSHOTS)
-    return snapshots_of_days(users, daily_rollup(events, transactions, horizon_of(dates)), dates)
+    if pieces:
+        users = users.select("user_id", "signup_date").repartition(pieces, "user_id")
+    return snapshots_of_days(users, daily_rollup(events, transactions, horizon_of(dates), pieces), dates)
 
 
 def snapshots_of_days(users: DataFrame, rollup: DataFrame, snapshot_dates) -> DataFrame:

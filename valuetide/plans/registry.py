@@ -45,9 +45,13 @@ def world(name: str, spark: SparkSession, folder: str) -> World:
     return WORLDS[name](spark, folder)
 
 
+def _snapshots(w: World) -> DataFrame:
+    return snapshots.build_snapshots(*w.tables, w.snapshot_dates, w.user_pieces)
+
+
 def split_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     w = world("commerce", spark, folder)
-    rows = snapshots.build_snapshots(*w.tables, w.snapshot_dates)
+    rows = _snapshots(w)
     return splits.assign_temporal_splits(rows, w.snapshot_dates)
 
 
@@ -182,11 +186,11 @@ BOTH_WORLDS: dict[str, Shared] = {
     "snapshot_spine": lambda w: snapshots.snapshot_spine(w.users, w.snapshot_dates).select(
         "user_id", "snapshot_date"
     ),
-    "snapshots": lambda w: snapshots.build_snapshots(*w.tables, w.snapshot_dates),
-    "label_churn": lambda w: snapshots.build_snapshots(*w.tables, w.snapshot_dates).select(
+    "snapshots": lambda w: _snapshots(w),
+    "label_churn": lambda w: _snapshots(w).select(
         "user_id", "snapshot_date", "churn_30d"
     ),
-    "label_ltv": lambda w: snapshots.build_snapshots(*w.tables, w.snapshot_dates).select(
+    "label_ltv": lambda w: _snapshots(w).select(
         "user_id", "snapshot_date", "future_90d_revenue"
     ),
     "eda_totals": lambda w: reporting.totals(*w.tables),
@@ -241,7 +245,7 @@ def _reloaded(spark: SparkSession, folder: str) -> tuple[World, dict, dict]:
     The frames are stored first: what is compared with them needs not make them again.
     """
     w = stored_commerce(spark, folder)
-    rows = splits.assign_temporal_splits(snapshots.build_snapshots(*w.tables, w.snapshot_dates), w.snapshot_dates)
+    rows = splits.assign_temporal_splits(_snapshots(w), w.snapshot_dates)
     frames = {**_named(w), "user_snapshots": sinks.materialize(rows, "user-snapshots")}
     base = scratch_path(spark, "reconcile")
     delete_at_exit(spark, base)

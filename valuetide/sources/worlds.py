@@ -36,6 +36,8 @@ ACTIVITY_SNAPSHOTS = [dt.date(2024, 1, d) for d in (5, 12, 19, 26)]
 COMMERCE_SNAPSHOTS = [dt.date(2000, m, 1) for m in range(7, 13)] + [
     dt.date(2001, m, 1) for m in range(1, 4)
 ]
+# Days of a user are wider than the orders and lines they come from.
+PIECES_BY_USER = 2
 
 
 SILENT = {
@@ -50,6 +52,8 @@ class World:
     events: DataFrame
     transactions: DataFrame
     snapshot_dates: list[dt.date]
+    # Into how many pieces users and their facts are dealt; None leaves it to the session.
+    user_pieces: int | None = None
 
     @property
     def tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -157,7 +161,8 @@ def commerce_world(spark: SparkSession, folder: str) -> World:
         amount.alias("amount"),
         refund.alias("refund_amount"),
     )
-    return World(_users(spark, folder, events), events, transactions, COMMERCE_SNAPSHOTS)
+    by_user = PIECES_BY_USER * pieces[0] if pieces else None
+    return World(_users(spark, folder, events), events, transactions, COMMERCE_SNAPSHOTS, by_user)
 
 
 def stored_commerce(spark: SparkSession, folder: str) -> World:
@@ -169,7 +174,7 @@ def stored_commerce(spark: SparkSession, folder: str) -> World:
     w = commerce_world(spark, folder)
     events = materialize(w.events, "events")
     users = materialize(_users(spark, folder, events), "users")
-    return World(users, events, materialize(w.transactions, "transactions"), w.snapshot_dates)
+    return World(users, events, materialize(w.transactions, "transactions"), w.snapshot_dates, w.user_pieces)
 
 
 def raw_world(spark: SparkSession, folder: str, name: str) -> World:
