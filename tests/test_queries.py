@@ -133,3 +133,26 @@ def test_orders_and_lines_are_dealt_by_their_size(spark, monkeypatch):
     plan = worlds.commerce_world(spark, FOLDER).transactions._jdf.queryExecution().executedPlan().toString()
     dealt = re.findall(r"hashpartitioning\((\w)_orderkey#\w+, 7\), REPARTITION_BY_NUM", plan)
     assert sorted(dealt) == ["l", "o"]
+
+
+def test_cards_of_a_channel_store_the_facts_of_its_customers_only(spark, monkeypatch):
+    """The facts of all customers were dealt and grouped, for every pass anew."""
+    from valuetide.operators import reporting
+    from valuetide.plans import registry
+
+    seen, cards = {}, reporting.executive_cards
+
+    def spy(users, events, transactions, *rest):
+        seen.update(users=users, events=events, transactions=transactions)
+        return cards(users, events, transactions, *rest)
+
+    monkeypatch.setattr(reporting, "executive_cards", spy)
+    found = registry.queries()["bi_channel_cards"](spark, "/root/testdata/sf0.001").collect()
+    assert {r["channel"] for r in seen["users"].select("channel").distinct().collect()} == {registry.CARD_CHANNEL}
+    for name in ("events", "transactions"):
+        assert seen[name].join(seen["users"], "user_id", "left_anti").count() == 0
+        assert "orders.parquet" not in "".join(seen[name].inputFiles())
+    w = registry.world("commerce", spark, "/root/testdata/sf0.001")
+    table = registry.stored_scores(spark, "/root/testdata/sf0.001", *registry.CARD_COLUMNS)
+    whole = cards(*w.tables, registry._features_of(table), registry._segments_of(table), registry.CARD_CHANNEL)
+    assert registry.rounded(whole, 4, "avg_predicted_ltv").collect() == found

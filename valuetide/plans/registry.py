@@ -49,18 +49,18 @@ def _snapshots(w: World) -> DataFrame:
     return snapshots.build_snapshots(*w.tables, w.snapshot_dates, w.user_pieces)
 
 
-def split_snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    w = world("commerce", spark, folder)
+def split_snapshots(spark: SparkSession, folder: str, w: World | None = None) -> DataFrame:
+    w = w or world("commerce", spark, folder)
     rows = _snapshots(w)
     return splits.assign_temporal_splits(rows, w.snapshot_dates)
 
 
-def scored(spark: SparkSession, folder: str) -> DataFrame:
+def scored(spark: SparkSession, folder: str, w: World | None = None) -> DataFrame:
     """Snapshots with a churn score on a 0.001 grid and an LTV score."""
     recency = F.least("days_since_last_active", F.lit(89)) * 9
     churn = (100 + recency + F.col("user_id") % 10).cast("double") / 1000
     pace = F.col("historical_ltv") / F.greatest("tenure_days", F.lit(1)) * 45
-    return split_snapshots(spark, folder).select(
+    return split_snapshots(spark, folder, w).select(
         "*", churn.alias("churn_probability"), (F.col("revenue_90d") * 0.5 + pace).alias("predicted_ltv")
     )
 
@@ -70,7 +70,7 @@ SEGMENT_COLUMNS = ("user_id", "snapshot_date", "ltv_split", "churn_split", "chur
 CARD_COLUMNS = (*SEGMENT_COLUMNS, "split", "churn_30d")
 
 
-def stored_scores(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+def stored_scores(spark: SparkSession, folder: str, *columns: str, w: World | None = None) -> DataFrame:
     """The scored snapshots, or the columns that a query takes of them, stored.
 
     Metrics, segments and BI tables all start from this table.  Each call
@@ -78,7 +78,7 @@ def stored_scores(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     and takes all its parts from there.  What feeds no column is neither
     shuffled nor stored.
     """
-    return sinks.materialize(scored(spark, folder).select(*(columns or "*")), "scored")
+    return sinks.materialize(scored(spark, folder, w).select(*(columns or "*")), "scored")
 
 
 def _features_of(table: DataFrame) -> DataFrame:
@@ -386,11 +386,17 @@ def bi_measures(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(out, 4, "avg_predicted_ltv")
 
 
+# What cards and the snapshots behind them take of events.
+CARD_EVENTS = ("user_id", "event_time", "event_type", "session_duration")
+
+
 def _cards(channel: str | None) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        w, table = world("commerce", spark, folder), stored_scores(spark, folder, *CARD_COLUMNS)
+        # The facts of one channel are few beside all: they are stored once for all passes.
+        w = stored_commerce(spark, folder, channel, CARD_EVENTS) if channel else world("commerce", spark, folder)
+        table = stored_scores(spark, folder, *CARD_COLUMNS, w=w)
         out = reporting.executive_cards(
-            sinks.materialize(w.users, "users"),
+            w.users if channel else sinks.materialize(w.users, "users"),
             w.events,
             w.transactions,
             _features_of(table),

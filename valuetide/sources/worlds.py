@@ -120,8 +120,12 @@ def activity_world(spark: SparkSession, folder: str) -> World:
     return World(_users(spark, folder, events), events, transactions, ACTIVITY_SNAPSHOTS)
 
 
-def commerce_world(spark: SparkSession, folder: str) -> World:
+def commerce_world(spark: SparkSession, folder: str, channel: str | None = None) -> World:
+    """With ``channel`` the roles of its customers only, whose orders are taken before they meet their lines."""
     orders = _table(spark, folder, "orders")
+    if channel is not None:
+        members = _customers(spark, folder).where(F.col("channel") == channel).select("user_id")
+        orders = orders.join(members, F.col("o_custkey") == F.col("user_id"), "left_semi")
     # Line numbers repeat within an order; the place in it is its own.
     content = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
     place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*content))
@@ -165,14 +169,15 @@ def commerce_world(spark: SparkSession, folder: str) -> World:
     return World(_users(spark, folder, events), events, transactions, COMMERCE_SNAPSHOTS, by_user)
 
 
-def stored_commerce(spark: SparkSession, folder: str) -> World:
-    """The commerce roles, each stored once.
+def stored_commerce(spark: SparkSession, folder: str, channel: str | None = None, events: tuple[str, ...] = ()) -> World:
+    """The commerce roles, each stored once, of one channel or all.
 
     For queries that take them several times: lines meet their orders once, and
-    users come from the stored events.
+    users come from the stored events.  ``events`` names the columns to store of
+    them, all if none.
     """
-    w = commerce_world(spark, folder)
-    events = materialize(w.events, "events")
+    w = commerce_world(spark, folder, channel)
+    events = materialize(w.events.select(*(events or "*")), "events")
     users = materialize(_users(spark, folder, events), "users")
     return World(users, events, materialize(w.transactions, "transactions"), w.snapshot_dates, w.user_pieces)
 
