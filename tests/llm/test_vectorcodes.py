@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from valuetide.llm import vectorcodes
+from valuetide.llm.common import Recent
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -67,6 +68,23 @@ def test_codes_of_hard_rows(spark, entries, rounds):
     assert compressed(spark, rows, entries=entries, rounds=rounds) == plain(rows, 16, entries, rounds)
 
 
+def test_a_task_of_many_batches(spark):
+    """The memo of a task outlives a batch: later ones meet cells that are known and cells that are not."""
+    rows = hard_rows()
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        assert compressed(spark, rows) == plain(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_memo_of_arrays():
+    recent = Recent(lambda keys: [np.arange(k) for k in keys], 100)
+    assert [len(v) for v in recent([2, 3])] == [2, 3]
+    assert [len(v) for v in recent([3, 2, 4])] == [3, 2, 4]
+
+
 def test_vectors_of_other_sizes_go(spark):
     rows = hard_rows()
     assert compressed(spark, [*rows, (-9, [0.5] * 16, 1)]) == plain(rows)

@@ -76,8 +76,8 @@ class Cells:
         self.shift = max(0, int(np.median(near)).bit_length() - 1) if len(near) else 0
         self.memo = Recent(self.undominated, memo)
 
-    def undominated(self, cells: list[bytes]) -> list[np.ndarray]:
-        """For each cell the entries that may be nearest somewhere in its box."""
+    def undominated(self, cells: list[bytes]) -> list[bytes]:
+        """For each cell the entries that may be nearest somewhere in its box, a byte each."""
         if not cells:
             return []
         low = np.frombuffer(b"".join(cells), np.int64).reshape(len(cells), 1, -1) << self.shift
@@ -86,7 +86,9 @@ class Cells:
         least = (np.maximum(np.maximum(below, above), 0) ** 2).sum(-1)
         most = (np.maximum(np.abs(below), np.abs(above)) ** 2).sum(-1)
         keep = least <= most.min(axis=1, keepdims=True)
-        return [np.flatnonzero(k).astype(np.int32) for k in keep]
+        _, entries = np.nonzero(keep)
+        entries, ends = entries.astype(np.uint8).tobytes(), np.cumsum(keep.sum(axis=1)).tolist()
+        return [entries[a:b] for a, b in zip([0, *ends], ends)]
 
     def nearest(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index, squared distance) of the nearest entry of each row."""
@@ -95,15 +97,15 @@ class Cells:
             return index, np.zeros(len(rows), np.int64)
         cells, of = _distinct(rows >> self.shift)
         kept = self.memo([c.tobytes() for c in cells])
-        counts = np.array(list(map(len, kept)))
+        counts = np.fromiter(map(len, kept), np.int64, len(kept))
+        entries, first = np.frombuffer(b"".join(kept), np.uint8), np.cumsum(counts) - counts
         widths = 1 << np.ceil(np.log2(counts)).astype(np.int64)
         for width in np.unique(widths):
             # Cells of similar counts go together; the first entry fills up short lists.
             some = np.flatnonzero(widths == width)
             table = np.empty((len(cells), width), np.int32)
-            for c in some:
-                table[c, : counts[c]] = kept[c]
-                table[c, counts[c] :] = kept[c][0]
+            slots = np.arange(width)
+            table[some] = entries[first[some, None] + np.where(slots < counts[some, None], slots, 0)]
             members = np.flatnonzero(widths[of] == width)
             if width == 1:
                 index[members] = table[of[members], 0]
