@@ -92,3 +92,42 @@ def test_a_forest_is_scored_and_stored_as_a_table_and_no_model_of_it_is_loaded(s
     assert sum(saved.sizes) == 6 and saved.importances == pytest.approx(found.importances)
     for r in saved.transform(data.select("features")).collect():
         assert own[r["features"]] == pytest.approx(r["mean"])
+
+
+def plain_tree(growth, root, bins, times, label):
+    """{node: (rows, feature, bin)}: every cut of every drawn feature weighed by itself."""
+    found, waiting = {}, [(root, np.arange(len(times)))]
+    purity = lambda r: forest.purity(growth, times[r].sum(), (times[r] * label[r]).sum())[1]
+    while waiting:
+        node, own = waiting.pop()
+        best = (0.0, -1, -1)
+        if times[own].sum() >= 2 * growth.leaf and np.ptp(label[own]) and node.bit_length() <= growth.depth:
+            for f in forest.chosen(growth, np.array([0]), np.array([node]))[0].tolist():
+                for cut in range(growth.bins - 1):
+                    left = bins[own, f] <= cut
+                    if min(times[own[left]].sum(), times[own[~left]].sum()) >= growth.leaf:
+                        gain = purity(own[left]) + purity(own[~left]) - purity(own)
+                        best = max(best, (round(gain, 9), -f, -cut))
+        found[node] = (times[own].sum(), -best[1], -best[2]) if best[0] > 1e-9 else (times[own].sum(), -1, -1)
+        if best[0] > 1e-9:
+            left = bins[own, found[node][1]] <= found[node][2]
+            waiting += [(2 * node, own[left]), (2 * node + 1, own[~left])]
+    return found
+
+
+@pytest.mark.parametrize("weights", [None, (0.7, 1.9)])
+def test_nodes_are_those_of_a_search_of_every_cut(monkeypatch, weights):
+    """Histograms of both sums at once; only cuts behind filled bins with enough rows on both sides are weighed."""
+    rng = np.random.default_rng(4)
+    growth = forest.Growth(1, 7, 9, 3, 6, 4, 8, 1, weights)
+    bins, times = rng.integers(0, 8, (400, 6)).astype(np.uint8), rng.integers(1, 4, 400)
+    bins[:, 1] = np.where(bins[:, 1] < 6, 0, 5)
+    label = (rng.random(400) < bins[:, 0] / 8).astype(float) if weights else rng.integers(0, 40, 400) / 8
+    weighed, whole = [], forest.purity
+    monkeypatch.setattr(forest, "purity", lambda g, n, s: weighed.append(np.size(n)) or whole(g, n, s))
+    found = forest.subtree(growth, 0, 1, bins, times.astype(np.uint8), label)
+    cells = (found["n"] >= 2 * growth.leaf).sum() * growth.subset * growth.bins
+    assert sum(weighed) < cells
+    monkeypatch.setattr(forest, "purity", whole)
+    own = {k: (n, f, b) for k, n, f, b in zip(*(found[c].tolist() for c in ("node", "n", "feature", "bin")))}
+    assert own == plain_tree(growth, 1, bins, times, label)
