@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from contextvars import ContextVar
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from ..operators import (
 )
 from ..session import delete_at_exit, scratch_path
 from ..sources import sinks
-from ..sources.worlds import WORLDS, World, stored_commerce
+from ..sources.worlds import WORLDS, World, stored_commerce, stored_facts
 from . import daystate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,26 +43,30 @@ SEED = 42
 CARD_CHANNEL = "MACHINERY"
 
 
-def world(name: str, spark: SparkSession, folder: str) -> World:
-    return WORLDS[name](spark, folder)
+# The roles that a query has made and whose snapshots it scores; else those of the folder.
+MADE: ContextVar[World | None] = ContextVar("made", default=None)
+
+
+def world(name: str, spark: SparkSession, folder: str, *more) -> World:
+    return WORLDS[name](spark, folder, *more)
 
 
 def _snapshots(w: World) -> DataFrame:
     return snapshots.build_snapshots(*w.tables, w.snapshot_dates, w.user_pieces)
 
 
-def split_snapshots(spark: SparkSession, folder: str, w: World | None = None) -> DataFrame:
-    w = w or world("commerce", spark, folder)
+def split_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    w = MADE.get() or world("commerce", spark, folder)
     rows = _snapshots(w)
     return splits.assign_temporal_splits(rows, w.snapshot_dates)
 
 
-def scored(spark: SparkSession, folder: str, w: World | None = None) -> DataFrame:
+def scored(spark: SparkSession, folder: str) -> DataFrame:
     """Snapshots with a churn score on a 0.001 grid and an LTV score."""
     recency = F.least("days_since_last_active", F.lit(89)) * 9
     churn = (100 + recency + F.col("user_id") % 10).cast("double") / 1000
     pace = F.col("historical_ltv") / F.greatest("tenure_days", F.lit(1)) * 45
-    return split_snapshots(spark, folder, w).select(
+    return split_snapshots(spark, folder).select(
         "*", churn.alias("churn_probability"), (F.col("revenue_90d") * 0.5 + pace).alias("predicted_ltv")
     )
 
@@ -78,7 +84,11 @@ def stored_scores(spark: SparkSession, folder: str, *columns: str, w: World | No
     and takes all its parts from there.  What feeds no column is neither
     shuffled nor stored.
     """
-    return sinks.materialize(scored(spark, folder, w).select(*(columns or "*")), "scored")
+    made = MADE.set(w)
+    try:
+        return sinks.materialize(scored(spark, folder).select(*(columns or "*")), "scored")
+    finally:
+        MADE.reset(made)
 
 
 def _features_of(table: DataFrame) -> DataFrame:
@@ -392,8 +402,11 @@ CARD_EVENTS = ("user_id", "event_time", "event_type", "session_duration")
 
 def _cards(channel: str | None) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        # The facts of one channel are few beside all: they are stored once for all passes.
-        w = stored_commerce(spark, folder, channel, CARD_EVENTS) if channel else world("commerce", spark, folder)
+        w = world("commerce", spark, folder, *([channel] if channel else []))
+        if channel:
+            # The facts of one channel are few beside all: they are stored once for all passes.
+            w = stored_facts(w, CARD_EVENTS)
+            w = replace(w, users=sinks.materialize(w.users, "users"))
         table = stored_scores(spark, folder, *CARD_COLUMNS, w=w)
         out = reporting.executive_cards(
             w.users if channel else sinks.materialize(w.users, "users"),

@@ -14,7 +14,9 @@ durations break their rules.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -54,6 +56,8 @@ class World:
     snapshot_dates: list[dt.date]
     # Into how many pieces users and their facts are dealt; None leaves it to the session.
     user_pieces: int | None = None
+    # Users out of events, for who stores these first; None where users are a table.
+    users_of: Callable[[DataFrame], DataFrame] | None = None
 
     @property
     def tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -166,20 +170,24 @@ def commerce_world(spark: SparkSession, folder: str, channel: str | None = None)
         refund.alias("refund_amount"),
     )
     by_user = PIECES_BY_USER * pieces[0] if pieces else None
-    return World(_users(spark, folder, events), events, transactions, COMMERCE_SNAPSHOTS, by_user)
+    users_of = partial(_users, spark, folder)
+    return World(users_of(events), events, transactions, COMMERCE_SNAPSHOTS, by_user, users_of)
 
 
-def stored_commerce(spark: SparkSession, folder: str, channel: str | None = None, events: tuple[str, ...] = ()) -> World:
-    """The commerce roles, each stored once, of one channel or all.
+def stored_facts(w: World, events: tuple[str, ...] = ()) -> World:
+    """The roles with facts stored once, of which lines meet their orders once, and users from the stored events.
 
-    For queries that take them several times: lines meet their orders once, and
-    users come from the stored events.  ``events`` names the columns to store of
-    them, all if none.
+    ``events`` names the columns to store of them, all if none.
     """
-    w = commerce_world(spark, folder, channel)
     events = materialize(w.events.select(*(events or "*")), "events")
-    users = materialize(_users(spark, folder, events), "users")
-    return World(users, events, materialize(w.transactions, "transactions"), w.snapshot_dates, w.user_pieces)
+    transactions = materialize(w.transactions, "transactions")
+    return replace(w, users=w.users_of(events) if w.users_of else w.users, events=events, transactions=transactions)
+
+
+def stored_commerce(spark: SparkSession, folder: str) -> World:
+    """The commerce roles, each stored once, for queries that take them several times."""
+    w = stored_facts(commerce_world(spark, folder))
+    return replace(w, users=materialize(w.users, "users"))
 
 
 def raw_world(spark: SparkSession, folder: str, name: str) -> World:
