@@ -131,3 +131,30 @@ def test_nodes_are_those_of_a_search_of_every_cut(monkeypatch, weights):
     monkeypatch.setattr(forest, "purity", whole)
     own = {k: (n, f, b) for k, n, f, b in zip(*(found[c].tolist() for c in ("node", "n", "feature", "bin")))}
     assert own == plain_tree(growth, 1, bins, times, label)
+
+
+def test_rows_are_led_to_the_nodes_below_the_large_ones():
+    """By tables, whatever the depth and the order of nodes; nodes that do not split keep their rows."""
+    rng = np.random.default_rng(8)
+    bins = rng.integers(0, 256, (500, 5)).astype(np.uint8)
+    splits = {n: (int(rng.integers(5)), int(rng.integers(60, 200))) for n in (1, 2, 3, 5, 6, 11, 23)}
+    rows = [{"tree": 0, "node": n, "feature": f, "bin": b} for n, (f, b) in splits.items()]
+    top = forest.Top([*rows[::-1], {"tree": 0, "node": 4, "feature": -1, "bin": -1}])
+    some = np.flatnonzero(rng.random(500) < 0.7)
+    for tree in (0, 1):
+        own = splits if tree == 0 else {}
+        expected = []
+        for r in some:
+            node = 1
+            while node in own:
+                node = 2 * node + int(bins[r, own[node][0]] > own[node][1])
+            expected.append(node)
+        assert top.reached(tree)[top.lead(tree, bins, some)].tolist() == expected
+
+
+def test_draws_by_their_first_bits_are_those_of_all_bits():
+    growth = forest.Growth(3, 11, 5, 1, 2, 2, 8, 1)
+    ids = np.arange(200_000)
+    uniform = (forest.mixed(growth.seed, 2, ids) >> np.uint64(11)) * 2.0**-53
+    assert (forest.drawn(growth, 2, ids) == np.searchsorted(forest.POISSON, uniform, side="right")).all()
+    assert (forest.FIRST_BITS == 255).sum() <= len(forest.POISSON)
